@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every stage here is a batch job over a bounded window; the rolling scoring
+horizon is a batch run with another ``as_of`` date. The package is kept so that
+the layout says so explicitly.
+"""
