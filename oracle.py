@@ -511,3 +511,142 @@ def data_queries() -> dict[str, str]:
             ) b ON b.user_id = m.user_id AND b.n = 1""",
         ),
     }
+
+
+def _six(expression: str, name: str) -> str:
+    """Six decimals and no negative zero."""
+    return f"round({expression}, 6) + CAST(0 AS DOUBLE) AS {name}"
+
+
+def _as_double(name: str) -> str:
+    return f"CAST({name} AS DOUBLE)"
+
+
+def prep_queries() -> dict[str, str]:
+    """Preparation and evaluation on the validation matrix."""
+    hours, means, payments = range(7, 19), ("auto", "manual"), ("card", "cash")
+    powers = (
+        "paid_all canceled_all_nt paid_16d paid_30d paid_60d canceled_16d_nt canceled_30d_nt canceled_60d_nt "
+        "dow_paid dow_canceled"
+    ).split()
+    mean_filled = {c: f"coalesce({_as_double(c)}, avg({c}) OVER ())" for c in ("shifts_num", "dow_paid_share")}
+    filled = ", ".join(f"{mean_filled.get(c, f'coalesce({_as_double(c)}, 0)')} AS {c}" for c in FEATURES)
+    tokens = [str(i) for i in range(50)] + ["click", "purchase", "signup", "view", "nan"]
+    edges = [i / 10 for i in range(11)]
+    bins = " ".join(
+        f"WHEN score > CAST('{low}' AS DOUBLE) AND score <= CAST('{high}' AS DOUBLE) THEN '{10 * i}-{10 * i + 10}'"
+        for i, (low, high) in enumerate(zip(edges, edges[1:]))
+    )
+    score = "SELECT order_id, cancel, canceled_all_nt_share AS score FROM m_val"
+    code = "CAST(dense_rank() OVER (ORDER BY {0}) - 1 AS INTEGER) AS {0}"
+    categories = "SELECT id AS order_id, creation_mean, payment_type, date_part('hour', start_at) AS start_hour FROM b_orders"
+
+    def hot(column: str, values, quote: str = "") -> list[str]:
+        return [f"CAST({column} = {quote}{v}{quote} AS DOUBLE) AS {column}{i}" for i, v in enumerate(values)]
+
+    one_hot = hot("creation_mean", means, "'") + hot("payment_type", payments, "'") + hot("start_hour", hours)
+    return {
+        "dataset_profile": sql(
+            "m_val",
+            f"SELECT count(*) AS row_count, CAST({len(MATRIX_SCHEMA.names)} AS INTEGER) AS column_count FROM m_val",
+        ),
+        "fill_mean": sql(
+            "m_val", f"SELECT order_id, {', '.join(_six(e, c) for c, e in mean_filled.items())} FROM m_val"
+        ),
+        "fill_constant": sql(
+            "m_val",
+            "SELECT "
+            + ", ".join(
+                f"CAST(coalesce({n}, -999) AS {_TYPES[MATRIX_SCHEMA[n].dataType.simpleString()]}) AS {n}"
+                for n in MATRIX_SCHEMA.names
+            )
+            + " FROM m_val",
+        ),
+        "label_encode": sql(
+            "b_orders",
+            f"SELECT order_id, {', '.join(code.format(c) for c in ('creation_mean', 'payment_type', 'start_hour'))} "
+            f"FROM ({categories})",
+        ),
+        "one_hot": sql("b_orders", f"SELECT order_id, {', '.join(one_hot)} FROM ({categories})"),
+        "power_features": sql(
+            "m_val",
+            "SELECT order_id, "
+            + ", ".join(
+                [_six(f"{_as_double(c)} * {_as_double(c)}", f"{c}_sq") for c in powers]
+                + [_six(f"sqrt({_as_double(c)})", f"{c}_sqrt") for c in powers]
+            )
+            + " FROM m_val",
+        ),
+        "segment_matrix": sql(
+            "m_tokens",
+            """
+            SELECT order_id, token, CAST(len(list_filter(tokens, lambda t: t = token)) AS BIGINT) AS n
+            FROM (SELECT order_id, tokens, unnest(list_distinct(tokens)) AS token FROM m_tokens)""",
+        ),
+        "segment_vocabulary": sql(
+            "each_token", "SELECT token, count(*) AS total, count(*) >= 100 AS kept FROM each_token GROUP BY token"
+        ),
+        "segment_presence": sql(
+            "m_tokens",
+            "SELECT order_id, "
+            + ", ".join(f"CASE WHEN list_contains(tokens, '{t}') THEN 1 END AS has_{t}" for t in tokens)
+            + " FROM m_tokens",
+        ),
+        "drop_sparse_columns": sql(
+            "m_val",
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, {_six(f'coalesce(sum({_as_double(c)}), 0)', 'total')}, "
+                f"coalesce(sum({_as_double(c)}), 0) >= 100 AS kept FROM m_val"
+                for c in FEATURES
+            ),
+        ),
+        "standardize": sql(
+            "m_val",
+            "SELECT order_id, "
+            + ", ".join(
+                _six(
+                    f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () "
+                    "ELSE CAST(0 AS DOUBLE) END",
+                    c,
+                )
+                for c in FEATURES
+            )
+            + f" FROM (SELECT order_id, {filled} FROM m_val)",
+        ),
+        "model_input": sql(
+            "m_val",
+            "SELECT order_id, "
+            + ", ".join(
+                _six(mean_filled[c], c) if c in mean_filled else f"coalesce({_as_double(c)}, -999) AS {c}"
+                for c in FEATURES
+            )
+            + ", CAST(cancel AS DOUBLE) AS label FROM m_val",
+        ),
+        "kfold_split": sql(
+            "chosen_full",
+            """
+            SELECT id AS order_id,
+                   CAST((((id % 2147483647) * 48271 + 42) % 2147483647 * 69621) % 2147483647 % 5 AS INTEGER) AS fold
+            FROM chosen_full""",
+        ),
+        "roc_auc": sql(
+            "m_val",
+            f"""
+            SELECT {_six("(rank_sum - p * (p + 1) / 2) / (p * n)", "auc")}
+            FROM (SELECT CAST(sum(place) FILTER (cancel = 1) AS DOUBLE) AS rank_sum,
+                         CAST(count(*) FILTER (cancel = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (cancel = 0) AS DOUBLE) AS n
+                  FROM (SELECT cancel, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place
+                        FROM ({score})))""",
+        ),
+        "logloss_accuracy": sql(
+            "m_val",
+            f"""
+            SELECT {_six("avg(CASE cancel WHEN 1 THEN -ln(p) ELSE -ln(CAST(1 AS DOUBLE) - p) END)", "log_loss")},
+                   {_six("avg(CAST((score > CAST('0.5' AS DOUBLE)) = (cancel = 1) AS DOUBLE))", "accuracy")}
+            FROM (SELECT *, least(greatest(score, CAST('1e-7' AS DOUBLE)), CAST(1 AS DOUBLE) - CAST('1e-7' AS DOUBLE)) AS p
+                  FROM ({score}))""",
+        ),
+        "score_bins": sql(
+            "m_val", f"SELECT order_id, cancel AS y_true, score AS y_pred, CASE {bins} END AS bin FROM ({score})"
+        ),
+    }

@@ -10,14 +10,27 @@ from pyspark.sql import functions as F
 
 from orderlore.operators import classification as cl
 from orderlore.operators import history as hi
+from orderlore.operators import metrics as me
 from orderlore.operators import population as po
+from orderlore.operators import prep as pr
 from orderlore.operators import recency as re
 from orderlore.operators import segments as sg
+from orderlore.plans import models as mo
 from orderlore.plans.features import feature_matrix, feature_matrix_segments
 from orderlore.sources.bridge import WEB_APP, WEB_SINCE, bridge
 from orderlore.sources.files import read_matrix, write_csv
-from orderlore.sources.schemas import SEGMENT_TRAIN, TRAIN, VALIDATION, Window
-from orderlore.sources.tables import Tables, shared_folder
+from orderlore.sources.schemas import (
+    FEATURES,
+    MEAN_FILLED,
+    POWER_COLUMNS,
+    SCORE_FILL,
+    SEGMENT_TRAIN,
+    TRAIN,
+    TRAIN_FILL,
+    VALIDATION,
+    Window,
+)
+from orderlore.sources.tables import Tables, materialise, shared_folder
 
 AS_OF = dt.date(2017, 7, 10)  # fixed value: the run date of the scoring queries
 
@@ -130,3 +143,217 @@ DATA_QUERIES: dict[str, Query] = {
     "feature_matrix_segments": _on_tables(segment_matrix_rows),
     "feature_matrix_segments_latest": _on_tables(lambda t: segment_matrix_rows(t, "latest")),
 }
+
+
+# --- preparation and evaluation ------------------------------------------------------
+
+
+def _rounded(name: str):
+    """Six decimals, without a negative zero: sums of doubles depend on their order."""
+    return (F.round(name, 6) + F.lit(0.0)).alias(name)
+
+
+def _mean_filled(tables: Tables) -> DataFrame:
+    filled = pr.fill_mean(validation_matrix(tables), MEAN_FILLED)
+    return filled.withColumns({c: _rounded(c) for c in MEAN_FILLED})
+
+
+def _categories(tables: Tables) -> DataFrame:
+    return tables["orders"].select(
+        F.col("id").alias("order_id"), "creation_mean", "payment_type", F.hour("start_at").alias("start_hour")
+    )
+
+
+def label_encode(tables: Tables) -> DataFrame:
+    encoded = _categories(tables)
+    for column in ("creation_mean", "payment_type", "start_hour"):
+        encoded, _ = pr.label_encode(encoded, column)
+    return encoded
+
+
+def one_hot(tables: Tables) -> DataFrame:
+    encoded = _categories(tables)
+    for column in ("creation_mean", "payment_type", "start_hour"):
+        encoded, _ = pr.one_hot(encoded, column)
+    return encoded
+
+
+def power_features(tables: Tables) -> DataFrame:
+    powers = pr.power_features(validation_matrix(tables), POWER_COLUMNS)
+    names = [f"{c}_{kind}" for kind in ("sq", "sqrt") for c in POWER_COLUMNS]
+    return powers.select("order_id", *[_rounded(n) for n in names])
+
+
+def standardize(tables: Tables) -> DataFrame:
+    filled = pr.fill_mean(validation_matrix(tables), MEAN_FILLED).na.fill(SCORE_FILL)
+    return pr.standardize(filled, FEATURES).select("order_id", *[_rounded(c) for c in FEATURES])
+
+
+def drop_sparse_columns(tables: Tables) -> DataFrame:
+    totals = pr.column_totals(validation_matrix(tables), FEATURES)
+    return totals.select("feature", _rounded("total"), (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
+
+
+def segment_vocabulary(tables: Tables) -> DataFrame:
+    totals = sg.token_totals(segment_matrix_rows(tables))
+    return totals.select("token", "total", (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
+
+
+def segment_presence(tables: Tables) -> DataFrame:
+    known = sg.segment_vocabulary(tables["segment_uploads"])
+    return sg.segment_presence(segment_matrix_rows(tables), [*known, sg.MISSING], "order_id", prefix="has_")
+
+
+def _share_as_score(tables: Tables) -> DataFrame:
+    """A column of the matrix in the place of a model's score, so that SQL can repeat the evaluation."""
+    return validation_matrix(tables).select("order_id", "cancel", F.col("canceled_all_nt_share").alias("score"))
+
+
+PREP_QUERIES: dict[str, Query] = {
+    "dataset_profile": _on_tables(lambda t: pr.dataset_profile(validation_matrix(t))),
+    "fill_mean": _on_tables(lambda t: _mean_filled(t).select("order_id", *MEAN_FILLED)),
+    "fill_constant": _on_tables(lambda t: pr.fill_constant(validation_matrix(t), TRAIN_FILL)),
+    "label_encode": _on_tables(label_encode),
+    "one_hot": _on_tables(one_hot),
+    "power_features": _on_tables(power_features),
+    "segment_matrix": _on_tables(lambda t: sg.segment_counts(segment_matrix_rows(t), "order_id")),
+    "segment_vocabulary": _on_tables(segment_vocabulary),
+    "segment_presence": _on_tables(segment_presence),
+    "drop_sparse_columns": _on_tables(drop_sparse_columns),
+    "standardize": _on_tables(standardize),
+    "model_input": _on_tables(lambda t: pr.model_input(pr.fill_constant(_mean_filled(t), TRAIN_FILL))),
+    "kfold_split": _on_tables(
+        lambda t: me.kfold_split(
+            po.population(t["orders"], "train", TRAIN).select(F.col("id").alias("order_id")), mo.FOLDS, mo.FOLD_SEED
+        )
+    ),
+    "roc_auc": _on_tables(lambda t: me.roc_auc(_share_as_score(t), "cancel", "score").select(_rounded("auc"))),
+    "logloss_accuracy": _on_tables(
+        lambda t: me.logloss_accuracy(_share_as_score(t), "cancel", "score").select(
+            _rounded("log_loss"), _rounded("accuracy")
+        )
+    ),
+    "score_bins": _on_tables(lambda t: me.score_bins(_share_as_score(t), "cancel", "score")),
+}
+
+
+# --- models: small numbers of trees, so that a check of all queries stays short ---------
+
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _matrix_of(spark: SparkSession, folder: str, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+    """A matrix written once per session and folder: fitting reads it many times."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _stored:
+        _stored[key] = materialise(build(bridge(spark, folder)), name)
+    return _stored[key]
+
+
+def _train(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "train", lambda t: feature_matrix(t, "train", TRAIN))
+
+
+def _validation(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "validation", validation_matrix)
+
+
+def _segment_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "segments", segment_matrix_rows)
+
+
+def _small_model(spark: SparkSession, folder: str) -> mo.CancellationModel:
+    return mo.train_gbt(_train(spark, folder), maxIter=5)
+
+
+def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _small_model(spark, folder).score(_validation(spark, folder), training=True)
+    return scored.select("order_id", "cancel", "will_cancel")
+
+
+def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Features and segment counts together; rare segments are left out before vectors are built."""
+    rows = _segment_rows(spark, folder)
+    preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
+    model = mo.train_gbt(rows, preparation, maxIter=5)
+    return model.score(rows, training=True).select("order_id", "segments", "cancel", "will_cancel")
+
+
+def train_mlp(spark: SparkSession, folder: str) -> DataFrame:
+    model = mo.train_mlp(_train(spark, folder))
+    return model.score(_validation(spark, folder)).select("order_id", "cancel", "will_cancel")
+
+
+def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
+    folded = me.kfold_split(_train(spark, folder), mo.FOLDS, mo.FOLD_SEED)
+    return mo.cross_validate(folded, mo.settings_of({"maxIter": [2, 4], "maxDepth": [3], "stepSize": [0.2]}))
+
+
+def grid_search(spark: SparkSession, folder: str) -> DataFrame:
+    folded = me.kfold_split(_train(spark, folder), mo.SAMPLED_FOLDS, mo.FOLD_SEED)
+    return mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 3}, {"maxDepth": [4], "minInstancesPerNode": [1, 3]})[1]
+
+
+def _holdout(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
+    folded = me.kfold_split(matrix, mo.FOLDS, mo.FOLD_SEED)
+    return folded.where("fold <> 0"), folded.where("fold = 0")
+
+
+def early_stopping(spark: SparkSession, folder: str) -> DataFrame:
+    return mo.early_stopping(*_holdout(_train(spark, folder)), patience=3, maxIter=10, maxDepth=3)[1]
+
+
+def early_stopping_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """On segment counts alone."""
+    rows = _segment_rows(spark, folder)
+    vocabulary = sg.segment_vocabulary(rows, sg.MIN_TOTAL)
+    preparation = mo.Preparation(columns=[], mean_filled=[], vocabulary=vocabulary)
+    return mo.early_stopping(*_holdout(rows), preparation, patience=3, maxIter=10, maxDepth=5)[1]
+
+
+def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return mo.feature_importance(_small_model(spark, folder))
+
+
+def _saved_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel, str]:
+    model, path = _small_model(spark, folder), shared_folder(spark, "model")
+    model.save(path)
+    return model, path
+
+
+def split_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return mo.split_importance(spark, _saved_model(spark, folder)[1])
+
+
+def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of a model and of the same model after saving and loading it."""
+    model, path = _saved_model(spark, folder)
+    matrix = _validation(spark, folder)
+    before = mo.score_orders(model, matrix).withColumnRenamed("will_cancel", "before_saving")
+    after = mo.score_orders(mo.CancellationModel.load(spark, path), matrix)
+    return before.join(after.withColumnRenamed("will_cancel", "after_loading"), "order_id")
+
+
+def score_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job: a stored model, the scoring matrix, scores written as CSV."""
+    _, path = _saved_model(spark, folder)
+    output = shared_folder(spark, "scores")
+    mo.score_files(
+        spark, path, lambda: scoring_matrix(bridge(spark, folder)), lambda scores: write_csv(scores, output)
+    )
+    return spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
+
+
+MODEL_QUERIES: dict[str, Query] = {
+    "train_gbt": train_gbt,
+    "train_gbt_segments": train_gbt_segments,
+    "train_mlp": train_mlp,
+    "cross_validate": cross_validate,
+    "grid_search": grid_search,
+    "early_stopping": early_stopping,
+    "early_stopping_segments": early_stopping_segments,
+    "feature_importance": feature_importance,
+    "split_importance": split_importance,
+    "model_roundtrip": model_roundtrip,
+    "score_orders": score_orders,
+}
