@@ -17,21 +17,19 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | Non
 
 def column_scales(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column, to store with a model."""
-    stats = df.select(*[F.struct(F.avg(c), F.stddev_pop(c)).alias(c) for c in columns]).first()
-    return {c: tuple(stats[c]) for c in columns}
-
-
-def _own(df: DataFrame, **stats: Column) -> Column:
-    """One-row aggregates of the frame itself as a scalar subquery: one extra
-    pass with partial aggregation, nothing joined, nothing on the driver."""
-    return df.select(F.struct(*[stat.alias(name) for name, stat in stats.items()]).alias("own")).scalar()
+    stats = df.agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"dev_{c}") for c in columns]
+    ).first()
+    return {c: (stats[f"mean_{c}"], stats[f"dev_{c}"]) for c in columns}
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str], means: Mapping[str, float | None] | None = None) -> DataFrame:
-    """Nulls of the named columns become a mean: a stored one, or the frame's own."""
-    if means is None:
-        own = _own(df, **{c: F.avg(c) for c in columns})
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), own.getField(c)) for c in columns})
+    """Nulls of the named columns become a mean: a stored one, or the frame's own.
+
+    The frame's own means take one pass now and only one row comes back, so
+    give a stored frame when it is costly to compute.
+    """
+    means = column_means(df, columns) if means is None else means
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c]).cast("double")) for c in columns})
 
 
@@ -44,16 +42,13 @@ def standardize(
     df: DataFrame, columns: Sequence[str], scales: Mapping[str, tuple[float, float]] | None = None
 ) -> DataFrame:
     """Zero mean and unit population deviation; constant columns become 0."""
-    if scales is None:
-        stats = {f"mean_{c}": F.avg(c) for c in columns} | {f"dev_{c}": F.stddev_pop(c) for c in columns}
-        own = _own(df, **stats)
-        return df.withColumns({c: _scaled(c, own.getField(f"mean_{c}"), own.getField(f"dev_{c}")) for c in columns})
-    return df.withColumns({c: _scaled(c, *[F.lit(s) for s in scales[c]]) for c in columns})
+    scales = column_scales(df, columns) if scales is None else scales
+    return df.withColumns({c: _scaled(c, *scales[c]) for c in columns})
 
 
-def _scaled(name: str, mean: Column, deviation: Column) -> Column:
-    centred = F.col(name).cast("double") - mean
-    return F.when(F.col(name).isNull(), None).when(deviation > 0, centred / deviation).otherwise(0.0)
+def _scaled(name: str, mean: float | None, deviation: float | None) -> Column:
+    centred = F.col(name).cast("double") - F.lit(mean)
+    return centred / F.lit(deviation) if deviation else F.when(F.col(name).isNotNull(), 0.0)
 
 
 # --- categories -----------------------------------------------------------------

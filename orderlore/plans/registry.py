@@ -145,7 +145,29 @@ DATA_QUERIES: dict[str, Query] = {
 }
 
 
-# --- preparation and evaluation ------------------------------------------------------
+# --- preparation and evaluation, on stored matrices -------------------------------------
+
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _matrix_of(spark: SparkSession, folder: str, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+    """A matrix written once per session and folder: fitting reads it many times."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _stored:
+        _stored[key] = materialise(build(bridge(spark, folder)), name)
+    return _stored[key]
+
+
+def _train(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "train", lambda t: feature_matrix(t, "train", TRAIN))
+
+
+def _validation(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "validation", validation_matrix)
+
+
+def _segment_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _matrix_of(spark, folder, "segments", segment_matrix_rows)
 
 
 def _rounded(name: str):
@@ -153,8 +175,8 @@ def _rounded(name: str):
     return (F.round(name, 6) + F.lit(0.0)).alias(name)
 
 
-def _mean_filled(tables: Tables) -> DataFrame:
-    filled = pr.fill_mean(validation_matrix(tables), MEAN_FILLED)
+def _mean_filled(spark: SparkSession, folder: str) -> DataFrame:
+    filled = pr.fill_mean(_validation(spark, folder), MEAN_FILLED)
     return filled.withColumns({c: _rounded(c) for c in MEAN_FILLED})
 
 
@@ -178,90 +200,67 @@ def one_hot(tables: Tables) -> DataFrame:
     return encoded
 
 
-def power_features(tables: Tables) -> DataFrame:
-    powers = pr.power_features(validation_matrix(tables), POWER_COLUMNS)
+def power_features(spark: SparkSession, folder: str) -> DataFrame:
+    powers = pr.power_features(_validation(spark, folder), POWER_COLUMNS)
     names = [f"{c}_{kind}" for kind in ("sq", "sqrt") for c in POWER_COLUMNS]
     return powers.select("order_id", *[_rounded(n) for n in names])
 
 
-def standardize(tables: Tables) -> DataFrame:
-    filled = pr.fill_mean(validation_matrix(tables), MEAN_FILLED).na.fill(SCORE_FILL)
+def standardize(spark: SparkSession, folder: str) -> DataFrame:
+    filled = pr.fill_mean(_validation(spark, folder), MEAN_FILLED).na.fill(SCORE_FILL)
     return pr.standardize(filled, FEATURES).select("order_id", *[_rounded(c) for c in FEATURES])
 
 
-def drop_sparse_columns(tables: Tables) -> DataFrame:
-    totals = pr.column_totals(validation_matrix(tables), FEATURES)
+def drop_sparse_columns(spark: SparkSession, folder: str) -> DataFrame:
+    totals = pr.column_totals(_validation(spark, folder), FEATURES)
     return totals.select("feature", _rounded("total"), (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
 
 
-def segment_vocabulary(tables: Tables) -> DataFrame:
-    totals = sg.token_totals(segment_matrix_rows(tables))
+def segment_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    totals = sg.token_totals(_segment_rows(spark, folder))
     return totals.select("token", "total", (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
 
 
-def segment_presence(tables: Tables) -> DataFrame:
-    known = sg.segment_vocabulary(tables["segment_uploads"])
-    return sg.segment_presence(segment_matrix_rows(tables), [*known, sg.MISSING], "order_id", prefix="has_")
+def segment_presence(spark: SparkSession, folder: str) -> DataFrame:
+    known = sg.segment_vocabulary(bridge(spark, folder)["segment_uploads"])
+    return sg.segment_presence(_segment_rows(spark, folder), [*known, sg.MISSING], "order_id", prefix="has_")
 
 
-def _share_as_score(tables: Tables) -> DataFrame:
+def _share_as_score(spark: SparkSession, folder: str) -> DataFrame:
     """A column of the matrix in the place of a model's score, so that SQL can repeat the evaluation."""
-    return validation_matrix(tables).select("order_id", "cancel", F.col("canceled_all_nt_share").alias("score"))
+    return _validation(spark, folder).select("order_id", "cancel", F.col("canceled_all_nt_share").alias("score"))
 
 
 PREP_QUERIES: dict[str, Query] = {
-    "dataset_profile": _on_tables(lambda t: pr.dataset_profile(validation_matrix(t))),
-    "fill_mean": _on_tables(lambda t: _mean_filled(t).select("order_id", *MEAN_FILLED)),
-    "fill_constant": _on_tables(lambda t: pr.fill_constant(validation_matrix(t), TRAIN_FILL)),
+    "dataset_profile": lambda spark, folder: pr.dataset_profile(_validation(spark, folder)),
+    "fill_mean": lambda spark, folder: _mean_filled(spark, folder).select("order_id", *MEAN_FILLED),
+    "fill_constant": lambda spark, folder: pr.fill_constant(_validation(spark, folder), TRAIN_FILL),
     "label_encode": _on_tables(label_encode),
     "one_hot": _on_tables(one_hot),
-    "power_features": _on_tables(power_features),
-    "segment_matrix": _on_tables(lambda t: sg.segment_counts(segment_matrix_rows(t), "order_id")),
-    "segment_vocabulary": _on_tables(segment_vocabulary),
-    "segment_presence": _on_tables(segment_presence),
-    "drop_sparse_columns": _on_tables(drop_sparse_columns),
-    "standardize": _on_tables(standardize),
-    "model_input": _on_tables(lambda t: pr.model_input(pr.fill_constant(_mean_filled(t), TRAIN_FILL))),
+    "power_features": power_features,
+    "segment_matrix": lambda spark, folder: sg.segment_counts(_segment_rows(spark, folder), "order_id"),
+    "segment_vocabulary": segment_vocabulary,
+    "segment_presence": segment_presence,
+    "drop_sparse_columns": drop_sparse_columns,
+    "standardize": standardize,
+    "model_input": lambda spark, folder: pr.model_input(pr.fill_constant(_mean_filled(spark, folder), TRAIN_FILL)),
     "kfold_split": _on_tables(
         lambda t: me.kfold_split(
             po.population(t["orders"], "train", TRAIN).select(F.col("id").alias("order_id")), mo.FOLDS, mo.FOLD_SEED
         )
     ),
-    "roc_auc": _on_tables(lambda t: me.roc_auc(_share_as_score(t), "cancel", "score").select(_rounded("auc"))),
-    "logloss_accuracy": _on_tables(
-        lambda t: me.logloss_accuracy(_share_as_score(t), "cancel", "score").select(
-            _rounded("log_loss"), _rounded("accuracy")
-        )
+    "roc_auc": lambda spark, folder: me.roc_auc(_share_as_score(spark, folder), "cancel", "score").select(
+        _rounded("auc")
     ),
-    "score_bins": _on_tables(lambda t: me.score_bins(_share_as_score(t), "cancel", "score")),
+    "logloss_accuracy": lambda spark, folder: me.logloss_accuracy(
+        _share_as_score(spark, folder), "cancel", "score"
+    ).select(_rounded("log_loss"), _rounded("accuracy")),
+    "score_bins": lambda spark, folder: me.score_bins(_share_as_score(spark, folder), "cancel", "score"),
 }
 
 
 # --- models: small numbers of trees, so that a check of all queries stays short ---------
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _matrix_of(spark: SparkSession, folder: str, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
-    """A matrix written once per session and folder: fitting reads it many times."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _stored:
-        _stored[key] = materialise(build(bridge(spark, folder)), name)
-    return _stored[key]
-
-
-def _train(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "train", lambda t: feature_matrix(t, "train", TRAIN))
-
-
-def _validation(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "validation", validation_matrix)
-
-
-def _segment_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "segments", segment_matrix_rows)
-
-
 def _small_model(spark: SparkSession, folder: str) -> mo.CancellationModel:
     return mo.train_gbt(_train(spark, folder), maxIter=5)
 
