@@ -73,7 +73,7 @@ def _strict_horizon_events(paid: DataFrame) -> DataFrame:
 
 def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_past: bool) -> DataFrame:
     start, out = F.col("start_at"), F.col("checked_out_at")
-    paid = (
+    every_paid = (
         orders.where(
             (F.col("workflow_state") == "paid")
             & F.col("deal_id").isNull()
@@ -81,11 +81,11 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
             & (start < at_midnight(window.end))
         )
         .select("user_id", "start_at", "checked_out_at")
-        .join(users, "user_id", "left_semi")
         .withColumns(
             {"date": F.to_date(start), "known_at": F.when(out.isNotNull(), F.greatest(start, out))}
         )
     )
+    paid = every_paid.join(users, "user_id", "left_semi")
     opening = at_midnight(window.start)
     still_open = {n: F.date_add(F.to_date(out), n) > F.col("date") for n in HORIZONS}
     per_date = paid.groupBy("user_id", "date").agg(
@@ -107,8 +107,9 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
             *([] if strict_past else _horizon_events_plain(per_date)),
         ],
     )
-    # orders that become known inside the window: few, and found by the pushed time filter
-    recent = paid.where(((start >= opening) | (out >= opening)) & (F.col("known_at") >= opening))
+    # orders that become known inside the window: few, and found by the pushed time filter;
+    # nearly all belong to users of the window, so no join is spent on the others
+    recent = every_paid.where(((start >= opening) | (out >= opening)) & (F.col("known_at") >= opening))
     events = events.unionByName(events_of(recent, dow, [event(F.col("known_at"), "dow_paid")]))
     return events.unionByName(_strict_horizon_events(paid)) if strict_past else events
 

@@ -22,7 +22,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.functions.columns import micros_between, midnight, weekday
@@ -57,33 +56,45 @@ class Measures:
     latest: Mapping[str, str] = field(default_factory=dict)
     earliest: Mapping[str, str] = field(default_factory=dict)
 
+    def aggregates(self) -> dict[str, tuple[str, str, str]]:
+        """Output column: its aggregate, the event column it reads, and of which measure."""
+        return (
+            {name: ("sum", "delta", name) for name in [*self.counts, *self.weekday_counts]}
+            | {name: ("max", "day", source) for name, source in self.latest.items()}
+            | {name: ("min", "day", source) for name, source in self.earliest.items()}
+        )
+
     def from_events(self) -> list[Column]:
-        def of(measure: str, column: str) -> Column:
-            return F.when(F.col("measure") == measure, F.col(column))
+        return [
+            F.expr(f"{merge}(CASE WHEN measure = '{source}' THEN {column} END) AS {name}")
+            for name, (merge, column, source) in self.aggregates().items()
+        ]
 
-        sums = [F.sum(of(name, "delta")).alias(name) for name in [*self.counts, *self.weekday_counts]]
-        tops = [F.max(of(source, "day")).alias(name) for name, source in self.latest.items()]
-        bottoms = [F.min(of(source, "day")).alias(name) for name, source in self.earliest.items()]
-        return sums + tops + bottoms
+    def combined(self) -> list[Column]:
+        return [F.expr(f"{merge}({name}) AS {name}") for name, (merge, _, _) in self.aggregates().items()]
 
-    def combined(self) -> list[tuple[str, object]]:
-        """Output columns with the aggregate that merges partial values."""
-        return (
-            [(name, F.sum) for name in [*self.counts, *self.weekday_counts]]
-            + [(name, F.max) for name in self.latest]
-            + [(name, F.min) for name in self.earliest]
-        )
+    def running(self, prefix: str, partition: str, order: str) -> list[Column]:
+        """Totals over strictly smaller values of ``order``; weekday counts within their weekday."""
+        frame = f"ORDER BY {order} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        return [
+            F.expr(
+                f"{merge}({name}) OVER (PARTITION BY {partition}{', dow' if name in self.weekday_counts else ''} {frame})"
+                f" AS {prefix}{name}"
+            )
+            for name, (merge, _, _) in self.aggregates().items()
+        ]
 
     def merged(self, first: str, second: str) -> list[Column]:
         """Two partial values, in columns with these prefixes, made one."""
-        zero = F.lit(0).cast("long")
-        sums = [
-            (F.coalesce(first + name, zero) + F.coalesce(second + name, zero)).alias(name)
-            for name in [*self.counts, *self.weekday_counts]
+        both = {
+            "sum": "coalesce({0}, 0L) + coalesce({1}, 0L)",
+            "max": "greatest({0}, {1})",
+            "min": "least({0}, {1})",
+        }
+        return [
+            F.expr(both[merge].format(first + name, second + name) + f" AS {name}")
+            for name, (merge, _, _) in self.aggregates().items()
         ]
-        tops = [F.greatest(first + name, second + name).alias(name) for name in self.latest]
-        bottoms = [F.least(first + name, second + name).alias(name) for name in self.earliest]
-        return sums + tops + bottoms
 
 
 def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures: Measures) -> DataFrame:
@@ -111,25 +122,10 @@ def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures
         .agg(*measures.from_events(), F.max(F.col("measure") == _POINT).alias("is_point"))
     )
 
-    def running(prefix: str, partition: list[str], order: Column) -> list[Column]:
-        """Totals strictly before the current row, weekday counts within its weekday."""
-
-        def frame(keys: list[str]):
-            return W.partitionBy(*keys).orderBy(order).rangeBetween(W.unboundedPreceding, -1)
-
-        every, same_weekday = frame(partition), frame([*partition, "dow"])
-        return [
-            merge(name).over(same_weekday if name in measures.weekday_counts else every).alias(prefix + name)
-            for name, merge in measures.combined()
-        ]
-
-    days = steps.groupBy("user_id", "day_no", "dow").agg(
-        *[merge(name).alias(name) for name, merge in measures.combined()],
-        F.max("is_point").alias("is_point"),
-    )
+    days = steps.groupBy("user_id", "day_no", "dow").agg(*measures.combined(), F.max("is_point").alias("is_point"))
     # a day of the window has one weekday, so a day with points gives one row
     earlier_days = (
-        days.select("user_id", "day_no", "is_point", *running("before_", ["user_id"], F.col("day_no")))
+        days.select("user_id", "day_no", "is_point", *measures.running("before_", "user_id", "day_no"))
         .where("is_point")
         .drop("is_point")
     )
@@ -137,9 +133,7 @@ def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures
     same_day = (
         steps.where("day_no >= 0")
         .withColumn("clock", clock)
-        .select(
-            "user_id", "day_no", "start_at", "is_point", *running("today_", ["user_id", "day_no"], F.col("clock"))
-        )
+        .select("user_id", "day_no", "start_at", "is_point", *measures.running("today_", "user_id, day_no", "clock"))
         .where("is_point")
     )
     return same_day.join(earlier_days, ["user_id", "day_no"], "left").select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlore.functions.columns import share
 from orderlore.operators.classification import classified_orders
 from orderlore.operators.history import change_summary
-from orderlore.operators.population import orders_general_info, shift_counts
+from orderlore.operators.population import orders_general_info, population, shift_counts
 from orderlore.operators.recency import history_columns, history_measures
 from orderlore.operators.segments import latest_segments, trackings, user_segments
 from orderlore.sources.schemas import MATRIX_SCHEMA, Window
@@ -21,9 +21,8 @@ def _matrix(tables, mode, window, fanout, strict_past, classified, changes) -> D
     changes = change_summary(tables["deltas"]) if changes is None else changes
     classified = classified_orders(tables, changes) if classified is None else classified
     general = orders_general_info(orders, tables["addresses"], mode, window, keep=("user_id", "start_at"))
-    measures = history_measures(
-        orders, classified, general.select("user_id", "start_at"), window, fanout, strict_past
-    )
+    points = population(orders, mode, window).select("user_id", "start_at")
+    measures = history_measures(orders, classified, points, window, fanout, strict_past)
     joined = (
         general.join(measures, ["user_id", "start_at"], "left")
         .select(general.columns + history_columns(F.col("start_at")))

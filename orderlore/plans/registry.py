@@ -37,8 +37,28 @@ AS_OF = dt.date(2017, 7, 10)  # fixed value: the run date of the scoring queries
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_stored: dict[tuple[str, str, str], DataFrame | Tables] = {}
+
+
+def tables_of(spark: SparkSession, folder: str) -> Tables:
+    """The order-history tables of a folder, derived and written once per session:
+    the queries then start from stored tables, as they would in production."""
+    key = (spark.sparkContext.applicationId, folder, "tables")
+    if key not in _stored:
+        _stored[key] = bridge(spark, folder).stored(shared_folder(spark, "tables"))
+    return _stored[key]
+
+
+def _kept(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A result written once per session and folder, for queries that start from it."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _stored:
+        _stored[key] = materialise(build(), name)
+    return _stored[key]
+
+
 def _on_tables(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: build(bridge(spark, folder))
+    return lambda spark, folder: build(tables_of(spark, folder))
 
 
 def scan_tables(tables: Tables) -> DataFrame:
@@ -77,27 +97,44 @@ def late_cancel_population(tables: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _history(tables: Tables) -> DataFrame:
-    return re.order_history(tables["orders"], cl.classified_orders(tables), "train", VALIDATION)
+def changes_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The change summary, stored: classification and shift counts both read it."""
+    return _kept(spark, folder, "changes", lambda: hi.change_summary(tables_of(spark, folder)["deltas"]))
+
+
+def classified_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The classification, computed once and stored, as all history measures start from it."""
+    return _kept(
+        spark, folder, "classified", lambda: cl.classified_orders(tables_of(spark, folder), changes_of(spark, folder))
+    )
+
 
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    return re.order_history(tables_of(spark, folder)["orders"], classified_of(spark, folder), "train", VALIDATION)
 
-def validation_matrix(tables: Tables) -> DataFrame:
-    return feature_matrix(tables, "train", VALIDATION)
 
+def _inputs(spark: SparkSession, folder: str) -> dict:
+    return {"classified": classified_of(spark, folder), "changes": changes_of(spark, folder)}
 
-def scoring_matrix(tables: Tables) -> DataFrame:
-    return feature_matrix(tables, "predict", Window.next_days(AS_OF))
 
+def training_matrix(spark: SparkSession, folder: str, window: Window = TRAIN) -> DataFrame:
+    return feature_matrix(tables_of(spark, folder), "train", window, **_inputs(spark, folder))
 
-def segment_matrix_rows(tables: Tables, dedupe: str = "none") -> DataFrame:
-    return feature_matrix_segments(tables, SEGMENT_TRAIN, WEB_APP, WEB_SINCE, dedupe)
 
+def scoring_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return feature_matrix(tables_of(spark, folder), "predict", Window.next_days(AS_OF), **_inputs(spark, folder))
 
-def csv_roundtrip(tables: Tables) -> DataFrame:
-    matrix = segment_matrix_rows(tables)
-    path = shared_folder(matrix.sparkSession, "csv")
-    write_csv(matrix, path)
-    return read_matrix(matrix.sparkSession, path, segments=True)
+
+def segment_matrix_rows(spark: SparkSession, folder: str, dedupe: str = "none") -> DataFrame:
+    return feature_matrix_segments(
+        tables_of(spark, folder), SEGMENT_TRAIN, WEB_APP, WEB_SINCE, dedupe, **_inputs(spark, folder)
+    )
+
+
+def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "csv")
+    write_csv(segment_matrix_rows(spark, folder), path)
+    return read_matrix(spark, path, segments=True)
 
 
 DATA_QUERIES: dict[str, Query] = {
@@ -120,10 +157,10 @@ DATA_QUERIES: dict[str, Query] = {
             F.col("id").alias("order_id"), "user_id", "start_at"
         )
     ),
-    "user_history_join": _on_tables(
-        lambda t: re.history_size(t["orders"], cl.classified_orders(t), "train", VALIDATION)
+    "user_history_join": lambda spark, folder: re.history_size(
+        tables_of(spark, folder)["orders"], classified_of(spark, folder), "train", VALIDATION
     ),
-    "orders_recency_info": _on_tables(lambda t: re.orders_recency_info(_history(t))),
+    "orders_recency_info": lambda spark, folder: re.orders_recency_info(_history(spark, folder)),
     "orders_general_info": _on_tables(
         lambda t: po.orders_general_info(t["orders"], t["addresses"], "train", VALIDATION)
     ),
@@ -133,41 +170,30 @@ DATA_QUERIES: dict[str, Query] = {
             po.population(t["orders"], "train", VALIDATION).select(F.col("id").alias("order_id")),
         )
     ),
-    "dow_cleanings": _on_tables(lambda t: re.dow_cleanings(_history(t))),
-    "feature_matrix_train": _on_tables(validation_matrix),
-    "feature_matrix_train_window": _on_tables(lambda t: feature_matrix(t, "train", TRAIN)),
-    "feature_matrix_predict": _on_tables(scoring_matrix),
-    "csv_roundtrip": _on_tables(csv_roundtrip),
+    "dow_cleanings": lambda spark, folder: re.dow_cleanings(_history(spark, folder)),
+    "feature_matrix_train": lambda spark, folder: training_matrix(spark, folder, VALIDATION),
+    "feature_matrix_train_window": training_matrix,
+    "feature_matrix_predict": scoring_matrix,
+    "csv_roundtrip": csv_roundtrip,
     "trackings": _on_tables(lambda t: sg.trackings(t["web_events"], WEB_APP, WEB_SINCE)),
     "latest_segments": _on_tables(lambda t: sg.latest_segments(t["segment_uploads"]).drop("date")),
-    "feature_matrix_segments": _on_tables(segment_matrix_rows),
-    "feature_matrix_segments_latest": _on_tables(lambda t: segment_matrix_rows(t, "latest")),
+    "feature_matrix_segments": segment_matrix_rows,
+    "feature_matrix_segments_latest": lambda spark, folder: segment_matrix_rows(spark, folder, "latest"),
 }
 
 
 # --- preparation and evaluation, on stored matrices -------------------------------------
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _matrix_of(spark: SparkSession, folder: str, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
-    """A matrix written once per session and folder: fitting reads it many times."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _stored:
-        _stored[key] = materialise(build(bridge(spark, folder)), name)
-    return _stored[key]
-
-
 def _train(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "train", lambda t: feature_matrix(t, "train", TRAIN))
+    return _kept(spark, folder, "train", lambda: training_matrix(spark, folder))
 
 
 def _validation(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "validation", validation_matrix)
+    return _kept(spark, folder, "validation", lambda: training_matrix(spark, folder, VALIDATION))
 
 
 def _segment_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _matrix_of(spark, folder, "segments", segment_matrix_rows)
+    return _kept(spark, folder, "segments", lambda: segment_matrix_rows(spark, folder))
 
 
 def _rounded(name: str):
@@ -222,7 +248,7 @@ def segment_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_presence(spark: SparkSession, folder: str) -> DataFrame:
-    known = sg.segment_vocabulary(bridge(spark, folder)["segment_uploads"])
+    known = sg.segment_vocabulary(tables_of(spark, folder)["segment_uploads"])
     return sg.segment_presence(_segment_rows(spark, folder), [*known, sg.MISSING], "order_id", prefix="has_")
 
 
@@ -338,7 +364,7 @@ def score_orders(spark: SparkSession, folder: str) -> DataFrame:
     _, path = _saved_model(spark, folder)
     output = shared_folder(spark, "scores")
     mo.score_files(
-        spark, path, lambda: scoring_matrix(bridge(spark, folder)), lambda scores: write_csv(scores, output)
+        spark, path, lambda: scoring_matrix(spark, folder), lambda scores: write_csv(scores, output)
     )
     return spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
 

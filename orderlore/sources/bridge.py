@@ -181,22 +181,19 @@ WEB_APP, WEB_SINCE = "web", "2024-01-10"
 def bridge(spark: SparkSession, folder: str) -> Tables:
     """All nine order-history tables, derived from the Parquet files in ``folder``."""
 
-    def raw(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    def bridged() -> DataFrame:
-        return conform(orders(raw("orders")), "orders")
-
-    return Tables(
-        {
-            "orders": bridged,
-            "subscriptions": lambda: subscriptions(raw("customer"), bridged()),
-            "order_reminders": lambda: order_reminders(raw("lineitem"), bridged()),
-            "deltas": lambda: deltas(raw("lineitem")),
-            "diffs": lambda: diffs(raw("lineitem")),
-            "users_roles": lambda: users_roles(raw("supplier")),
-            "addresses": lambda: addresses(raw("customer")),
-            "web_events": lambda: web_events(raw("events")),
-            "segment_uploads": lambda: segment_uploads(raw("events")),
-        }
+    raw = {
+        name: spark.read.parquet(f"{folder}/{name}.parquet")
+        for name in ("orders", "customer", "lineitem", "supplier", "events")
+    }
+    bridged = conform(orders(raw["orders"]), "orders")
+    return Tables.of(
+        orders=bridged,
+        subscriptions=subscriptions(raw["customer"], bridged),
+        order_reminders=order_reminders(raw["lineitem"], bridged),
+        deltas=deltas(raw["lineitem"]),
+        diffs=diffs(raw["lineitem"]),
+        users_roles=users_roles(raw["supplier"]),
+        addresses=addresses(raw["customer"]),
+        web_events=web_events(raw["events"]),
+        segment_uploads=segment_uploads(raw["events"]),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -41,11 +42,21 @@ class Tables(Mapping[str, DataFrame]):
 
     @classmethod
     def parquet(cls, spark: SparkSession, folder: str) -> "Tables":
-        """``folder/<table>`` or ``folder/<table>.parquet``, whatever the caller wrote."""
+        """``folder/<table>.parquet``, read with the declared schemas."""
         return cls(
-            {name: (lambda name=name: spark.read.parquet(f"{folder}/{name}.parquet")) for name in TABLE_SCHEMAS}
+            {
+                name: (lambda name=name: spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet"))
+                for name in TABLE_SCHEMAS
+            }
         )
 
+    def stored(self, folder: str) -> "Tables":
+        """All tables written once as Parquet below ``folder`` and read from there."""
+        for name in self:
+            self[name].write.parquet(f"{folder}/{name}.parquet")
+        spark = next(iter(self.values())).sparkSession
+        return Tables.parquet(spark, folder)
+
     @classmethod
     def catalog(cls, spark: SparkSession, prefix: str = "") -> "Tables":
         """Tables or views of the session catalog, e.g. bucketed by ``user_id``."""
@@ -80,15 +91,22 @@ def remote_query(spark: SparkSession, options: Mapping[str, str], query: str, co
     return result.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
 
 
+_local_root: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that the session names for checkpoints.
 
-    All executors must reach it, so nothing falls back to a local folder here:
-    a session without the setting has to set it.
+    All executors must reach it. Only a session without a cluster may do
+    without the setting; it then gets one temporary folder per process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="run-"))
+        root = _local_root[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

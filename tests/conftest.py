@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,12 +16,11 @@ def session():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     return spark
 
 
