@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.functions.json import changed_value, may_contain, unpack_changes
+from orderlore.operators.joins import join_spread
 
 
 def latest_reminder(reminders: DataFrame) -> DataFrame:
@@ -77,12 +78,11 @@ def _cancellations_after_end(subscriptions: DataFrame, orders: DataFrame) -> Dat
     ended = subscriptions.where(F.col("deactivated_at").isNotNull()).select(
         F.col("id").alias("subscription_id"), "deactivated_at"
     )
-    return (
-        orders.where(F.col("workflow_state") == "canceled")
-        .select(F.col("id").alias("order_id"), "subscription_id", "start_at", "canceled_at")
-        .join(ended, "subscription_id")
-        .where(F.col("canceled_at") >= F.col("deactivated_at"))
+    canceled = orders.where((F.col("workflow_state") == "canceled") & F.col("subscription_id").isNotNull()).select(
+        F.col("id").alias("order_id"), "subscription_id", "start_at", "canceled_at"
     )
+    joined = join_spread(canceled, ended, "subscription_id", "order_id")
+    return joined.where(F.col("canceled_at") >= F.col("deactivated_at"))
 
 
 def subscription_cancel_rank(subscriptions: DataFrame, orders: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def _horizon_events_plain(per_date: DataFrame) -> list[Column]:
     return events
 
 
-def _strict_horizon_events(paid: DataFrame) -> DataFrame:
+def _strict_horizon_events(paid: DataFrame, users: DataFrame) -> DataFrame:
     """The same, counting an order only once it is checked out. Now the spans of
     one date can lie apart: walk through them by opening time and let each
     count for the part that reaches beyond the earlier ones. Per date there is
@@ -56,6 +56,7 @@ def _strict_horizon_events(paid: DataFrame) -> DataFrame:
         paid.where(F.col("checked_out_at").isNotNull())
         .groupBy("user_id", "date", F.to_date("checked_out_at").alias("out"))
         .agg(F.min("known_at").alias("opened"))
+        .join(users, "user_id", "left_semi")
     )
     earlier = W.partitionBy("user_id", "date").orderBy("opened", "out").rowsBetween(W.unboundedPreceding, -1)
     spans = spans.withColumn("reached", F.max("out").over(earlier))
@@ -72,8 +73,14 @@ def _strict_horizon_events(paid: DataFrame) -> DataFrame:
 
 
 def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_past: bool) -> DataFrame:
+    """Orders are first aggregated per user and date, then restricted to the users
+    of the window. In this order a user with very many orders is spread over
+    dates when shuffled by user and date, and down to one row per date when
+    shuffled by user. A list of users small enough to broadcast is applied
+    before the aggregation all the same: the optimizer moves it there.
+    """
     start, out = F.col("start_at"), F.col("checked_out_at")
-    every_paid = (
+    paid = (
         orders.where(
             (F.col("workflow_state") == "paid")
             & F.col("deal_id").isNull()
@@ -85,7 +92,6 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
             {"date": F.to_date(start), "known_at": F.when(out.isNotNull(), F.greatest(start, out))}
         )
     )
-    paid = every_paid.join(users, "user_id", "left_semi")
     opening = at_midnight(window.start)
     still_open = {n: F.date_add(F.to_date(out), n) > F.col("date") for n in HORIZONS}
     per_date = paid.groupBy("user_id", "date").agg(
@@ -94,7 +100,7 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
         F.max(F.to_date(out)).alias("last_out"),
         *[F.min(F.when(still_open[n], start)).alias(f"opens_{n}") for n in HORIZONS],
         F.count_if(F.col("known_at") < opening).alias("known_before"),
-    )
+    ).join(users, "user_id", "left_semi")
     dow = weekday(F.col("date"))
     before_window = F.when(F.col("known_before") > 0, opening - F.lit(ONE_MICROSECOND))
     events = events_of(
@@ -109,9 +115,9 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
     )
     # orders that become known inside the window: few, and found by the pushed time filter;
     # nearly all belong to users of the window, so no join is spent on the others
-    recent = every_paid.where(((start >= opening) | (out >= opening)) & (F.col("known_at") >= opening))
+    recent = paid.where(((start >= opening) | (out >= opening)) & (F.col("known_at") >= opening))
     events = events.unionByName(events_of(recent, dow, [event(F.col("known_at"), "dow_paid")]))
-    return events.unionByName(_strict_horizon_events(paid)) if strict_past else events
+    return events.unionByName(_strict_horizon_events(paid, users)) if strict_past else events
 
 
 def _canceled_events(classified: DataFrame, users: DataFrame, fanout: str, strict_past: bool) -> DataFrame:

@@ -107,6 +107,10 @@ def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures
         "user_id", weekday(F.col("start_at")).alias("dow"), F.inline(F.array(event(F.col("start_at"), _POINT)))
     )
     opening = F.col("at") < at_midnight(window.start)
+    # 0 before the window, 1 inside, 2 a moment that is asked for. Both readers of the
+    # steps filter on this aggregate rather than on the day, which the optimizer would
+    # push below the aggregation; so the steps are computed and shuffled once for both
+    role = F.when(F.col("measure") == _POINT, 2).when(F.col("day_no") >= 0, 1).otherwise(0)
     steps = (
         dated.unionByName(marks)
         .select(
@@ -119,22 +123,22 @@ def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures
             "day",
         )
         .groupBy("user_id", "day_no", "start_at", "dow")
-        .agg(*measures.from_events(), F.max(F.col("measure") == _POINT).alias("is_point"))
+        .agg(*measures.from_events(), F.max(role).alias("role"))
     )
 
-    days = steps.groupBy("user_id", "day_no", "dow").agg(*measures.combined(), F.max("is_point").alias("is_point"))
+    days = steps.groupBy("user_id", "day_no", "dow").agg(*measures.combined(), F.max("role").alias("role"))
     # a day of the window has one weekday, so a day with points gives one row
     earlier_days = (
-        days.select("user_id", "day_no", "is_point", *measures.running("before_", "user_id", "day_no"))
-        .where("is_point")
-        .drop("is_point")
+        days.select("user_id", "day_no", "role", *measures.running("before_", "user_id", "day_no"))
+        .where("role = 2")
+        .drop("role")
     )
     clock = micros_between(F.col("start_at"), midnight(F.to_date("start_at")))
     same_day = (
-        steps.where("day_no >= 0")
+        steps.where("role > 0")
         .withColumn("clock", clock)
-        .select("user_id", "day_no", "start_at", "is_point", *measures.running("today_", "user_id, day_no", "clock"))
-        .where("is_point")
+        .select("user_id", "day_no", "start_at", "role", *measures.running("today_", "user_id, day_no", "clock"))
+        .where("role = 2")
     )
     return same_day.join(earlier_days, ["user_id", "day_no"], "left").select(
         "user_id", "start_at", *measures.merged("before_", "today_")
