@@ -89,7 +89,20 @@ def classification_fanout(classified: DataFrame) -> DataFrame:
     return classified.select("order_id", "cancel_type", "multiplicity")
 
 
+_COPIES_PER_CHUNK = 4096
+
+
 def explode_multiplicity(classified: DataFrame) -> DataFrame:
-    """The classification as a table with repeated rows."""
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("multiplicity")))
-    return classified.select("order_id", "cancel_type", copies).select("order_id", "cancel_type")
+    """The classification as a table with repeated rows.
+
+    Copies are made in chunks that are spread over all tasks first, so an order
+    that stands for very many rows is neither one array nor one task's output.
+    """
+    size = F.lit(_COPIES_PER_CHUNK)
+    last_chunk = F.floor((F.col("multiplicity") - 1) / size)
+    chunks = classified.select(
+        "order_id", "cancel_type", "multiplicity", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("chunk")
+    ).repartition("order_id", "chunk")
+    in_chunk = F.least(size, F.col("multiplicity") - F.col("chunk") * size).cast("int")
+    copies = F.explode(F.sequence(F.lit(1), in_chunk)).alias("copy")
+    return chunks.select("order_id", "cancel_type", copies).drop("copy")

@@ -54,10 +54,24 @@ def _scaled(name: str, mean: float | None, deviation: float | None) -> Column:
 # --- categories -----------------------------------------------------------------
 
 
+MAX_VALUES = 100_000
+
+
+def model_values(distinct: DataFrame, column: str, limit: int = MAX_VALUES) -> list:
+    """Distinct values that become codes or columns of a model, ascending.
+
+    They are part of the model and so have to fit the driver. More than
+    ``limit`` of them is an error, never a shorter list.
+    """
+    values = [row[0] for row in distinct.select(column).limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"{column} has more than {limit} values, too many for a model")
+    return sorted(values)
+
+
 def category_classes(df: DataFrame, column: str) -> list:
-    """Distinct values of a categorical column, ascending. They are the column's
-    encoding and become part of a model, so they are held on the driver."""
-    return [row[0] for row in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+    """The classes of a categorical column."""
+    return model_values(df.select(column).where(F.col(column).isNotNull()).distinct(), column)
 
 
 def _code(column: str, classes: Sequence) -> Column:
@@ -81,9 +95,9 @@ def label_encode(df: DataFrame, column: str, classes: Sequence | None = None) ->
 def one_hot(df: DataFrame, column: str, classes: Sequence | None = None) -> tuple[DataFrame, list]:
     """The column replaced by ``<column>0 .. <column>n``, one per class, and the classes."""
     classes = category_classes(df, column) if classes is None else list(classes)
-    code = _code(column, classes)
-    cells = {f"{column}{i}": F.when(code == i, 1.0).otherwise(0.0) for i in range(len(classes))}
-    return df.withColumns(cells).drop(column), classes
+    coded = df.withColumn(column, _code(column, classes))
+    cells = {f"{column}{i}": F.when(F.col(column) == i, 1.0).otherwise(0.0) for i in range(len(classes))}
+    return coded.withColumns(cells).drop(column), classes
 
 
 def power_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderlore.operators.prep import model_values
+
 MISSING = "nan"  # fixed value: the token of a row without segments
 SEPARATOR = "/"  # fixed value: between the tokens of a row
 MIN_TOTAL = 100  # fixed value: columns with a smaller sum are dropped
@@ -74,12 +76,8 @@ def token_totals(df: DataFrame) -> DataFrame:
 
 
 def segment_vocabulary(df: DataFrame, min_total: int = 1) -> list[str]:
-    """Tokens in ascending order, rare ones left out.
-
-    The vocabulary is the list of matrix columns and becomes part of a model,
-    so it is held on the driver like any model's column list.
-    """
-    return [row.token for row in token_totals(df).where(F.col("total") >= min_total).orderBy("token").collect()]
+    """Tokens in ascending order, rare ones left out. They are the matrix's columns."""
+    return model_values(token_totals(df).where(F.col("total") >= min_total), "token")
 
 
 def segment_vector(df: DataFrame, vocabulary: list[str], output: str = "segment_vector") -> DataFrame:

@@ -147,6 +147,14 @@ def test_fan_out_is_the_product_of_log_roles_and_crm(spark):
     )
     assert {r.order_id: r.multiplicity for r in classified.collect()} == {1: 8, 2: 3}
     assert cl.explode_multiplicity(classified).groupBy("order_id").count().where("order_id = 1").first()["count"] == 8
+    many = spark.createDataFrame(
+        [(i, "unknown", n) for i, n in enumerate([1, 4096, 4097, 100_000])],
+        "order_id long, cancel_type string, multiplicity long",
+    )
+    exploded = cl.explode_multiplicity(many)
+    assert {r.order_id: r["count"] for r in exploded.groupBy("order_id").count().collect()} == {
+        0: 1, 1: 4096, 2: 4097, 3: 100_000
+    }
 
 
 def test_change_documents(spark):
