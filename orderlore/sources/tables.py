@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -91,22 +90,15 @@ def remote_query(spark: SparkSession, options: Mapping[str, str], query: str, co
     return result.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
 
 
-_local_root: list[str] = []
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that the session names for checkpoints.
 
-    All executors must reach it. Only a session without a cluster may do
-    without the setting; it then gets one temporary folder per process.
+    All executors must reach it. A session that names none gets a folder
+    beside its saved tables, in the warehouse, which they reach as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        if not _local_root:
-            _local_root.append(tempfile.mkdtemp(prefix="run-"))
-        root = _local_root[0]
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/runs"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
