@@ -21,6 +21,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 # --- components -------------------------------------------------------------------------
 
 def _fingerprint(edges: DataFrame) -> tuple:
