@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def in_chunks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iter
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         total = np.cumsum(sizes.astype(np.int64))
         start = 0
         while start < batch.num_rows:
@@ -80,7 +81,7 @@ def in_chunks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iter
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts behind each other, and where each text begins (one more entry for the end); null: empty."""
-    column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -179,8 +180,8 @@ def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         if not batch.num_rows:
             continue
         last = batch.column(key)[batch.num_rows - 1]
-        keys = pa.compute.equal(batch.column(key), last)
-        cut = pa.compute.index(keys, True).as_py()
+        keys = pc.equal(batch.column(key), last)
+        cut = pc.index(keys, True).as_py()
         if cut == 0 and held and held[-1].column(key)[held[-1].num_rows - 1] != last:
             yield pa.Table.from_batches(held)
             held = []

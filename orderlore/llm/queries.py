@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlore.llm import hostrules, mixing
+from orderlore.llm import hostrules, mixing, neardup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,9 +25,14 @@ def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op6_host_rules": op6_host_rules,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 
