@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import gc
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,31 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``materialise`` for a large step, after which the driver lets go of what the step held, so that Spark
+    removes its shuffle files."""
+    out = materialise(df, purpose)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """Rows with two columns that name each row for good, a file and a place in it, and the names of the columns.
+
+    Rows that come straight from files are named by file and row number; other rows are written first.
+    """
+    file, at = fresh(docs, "file"), fresh(docs, "at")
+    place = lambda df: df.withColumns(
+        {file: F.xxhash64("_metadata.file_path"), at: F.col("_metadata.row_index")}
+    )
+    try:
+        return place(docs), file, at
+    except AnalysisException:
+        return place(materialise(docs, "rows")), file, at
+
+
 # --- components -------------------------------------------------------------------------
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -191,10 +218,3 @@ def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
-
-
-def arrow_batches(run: Callable[..., dict], schema: pa.Schema):
-    """Turn a function from a chunk to columns into batches of the schema."""
-    return lambda *args: pa.RecordBatch.from_arrays(
-        [pa.array(value, f.type) for f, value in zip(schema, run(*args), strict=True)], schema=schema
-    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlore.llm import hostrules, mixing, neardup
+from orderlore.llm import hostrules, lines, mixing, neardup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cut = lines.without_repeated_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", lines.text_digest().alias("kept_sha256"))
+
+
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"))
 
@@ -32,6 +37,7 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op6_host_rules": op6_host_rules,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_near_duplicates": op8_near_duplicates,
 }
 
