@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlore.llm import hostrules, lines, mixing, neardup
+from orderlore.llm import hostrules, lines, mixing, neardup, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,17 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_file() -> str:
+    """The public vocabulary of the packing query; installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), tokenizer_file())
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = hostrules.judge(_table(spark, folder, "documents"))
     return judged.select(
@@ -36,6 +47,7 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
     "op6_host_rules": op6_host_rules,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_near_duplicates": op8_near_duplicates,
