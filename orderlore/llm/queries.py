@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlore.llm import hostrules, lines, mixing, neardup, packing
+from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,12 +46,32 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    part = quality.remainder("doc_id", 4)
+    model = quality.fit(docs, labels.where(part != 2), "quality")
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", (part == 2).alias("held_out"), "score", (F.col("score") >= quality.KEEP).cast("int").alias("predicted")
+    )
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    part = quality.remainder("doc_id", 5)
+    model = toxicity.fit(docs, labels.where(part != 0), "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id", (part == 0).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op6_host_rules": op6_host_rules,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 
