@@ -149,6 +149,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words in the joined texts, and the index of each text's first word (one more at the end)."""
     filled = ~_SPACE[data]

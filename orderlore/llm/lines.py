@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlore.llm.common import components, in_chunks, located, minwise, multipliers, stored
+from orderlore.llm.common import components, distinct, in_chunks, located, minwise, multipliers, stored
 from orderlore.sources.tables import materialise
 
 SIZE = 10  # characters of a shingle, white space left out
@@ -113,7 +113,7 @@ def _named_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similarity_sets(text: str) -> np.ndarray:
     """The distinct shingles of one line."""
     points, _, _, _ = _plain([text.replace("\n", " ")])
-    return np.unique(_rolled(points)[: len(points) - SIZE + 1])
+    return distinct(_rolled(points)[: len(points) - SIZE + 1])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = []
         for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
             x, y = similarity_sets(a), similarity_sets(b)
-            both = len(x) + len(y) - len(np.union1d(x, y))
+            both = len(x) + len(y) - len(distinct(np.concatenate([x, y])))
             links.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 

@@ -12,68 +12,116 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlore.llm.common import _SPACE, in_chunks, text_bytes, words_of
+from orderlore.llm.common import _SPACE, distinct, in_chunks, text_bytes, words_of
 
 LENGTH = 4096  # most tokens of a sequence
 END = 2  # the id that ends a document
 BLOCK = 1 << 20  # tokens that are packed together
-CHUNK = 1 << 21  # bytes of text that a task tokenizes at once
-KNOWN = 400_000  # words whose ids a task keeps
+CHUNK = 3 << 19  # bytes of text that a task tokenizes at once
+KNOWN = 150_000  # words whose ids a task keeps
 STEP = 256  # inside a sentence of over LENGTH / 4 tokens, places to cut are so far apart
 
 #: What a cut costs, in tokens of padding: at the end of a document, of a sentence, inside a sentence.
 AT_DOCUMENT, AT_SENTENCE, INSIDE = 0, 8, 256
 
 
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, cut further between ASCII letters and ASCII signs other than the apostrophe: no id spans such a place."""
+    starts, ends, _ = words_of(data, offsets)
+    letter, sign = _LETTER[data], _SIGN[data]
+    inner = np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) + 1
+    first, last = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    first[starts], last[ends], first[inner], last[inner] = True, True, True, True
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but for those before a byte above ASCII, which may be an accent that joins the letter."""
+    upper = (data >= 65) & (data <= 90)
+    upper[:-1] &= data[1:] < 128
+    return data + upper * np.uint8(32)
+
+
 class Words:
-    """Ids of texts, word by word: no id of the tokenizer spans white space, so each different word is encoded once."""
+    """Ids of texts, part by part: each different part is encoded once as long as it is known.
+
+    New parts are encoded as one text with a sign between them that none of them holds. The first KNOWN parts, among
+    them all frequent ones, stay known; others until the next call.
+    """
+
+    BETWEEN = "\u2400"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
+        self.between = np.array(self.plain(self.BETWEEN), np.uint32)
         self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.begins = [0]
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.passing: list[str] = []
+
+    def plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.begins) - 1
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
 
     def look_up(self, words: list[str]) -> np.ndarray:
-        """The number of each word among the known ones."""
-        if len(self.known) > KNOWN:
-            self.forget()
-        missing = [w for w in words if w not in self.known]
+        """The number of each part among the known ones."""
+        known = self.known
+        if self.passing:
+            for w in self.passing:
+                del known[w]
+            self.begins = self.begins[: len(known) + 1].copy()
+            self.ids = self.ids[: self.begins[-1]].copy()
+            self.passing = []
+        missing = [w for w in words if w not in known]
+        if len(known) >= KNOWN:
+            self.passing = missing
+        odd = [w for w in missing if self.BETWEEN in w]
+        for w in odd:
+            ids = np.array(self.plain(w), np.uint32)
+            self.learn([w], ids, np.array([len(ids)]))
+        if odd:
+            missing = [w for w in missing if self.BETWEEN not in w]
         if missing:
-            more = [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
-            flat = np.fromiter((i for ids in more for i in ids), np.uint32, sum(map(len, more)))
-            end = self.begins[-1]
-            while end + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[end : end + len(flat)] = flat
-            for w, ids in zip(missing, more, strict=True):
-                self.known[w] = len(self.begins) - 1
-                end += len(ids)
-                self.begins.append(end)
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            ids = np.array(self.plain(f" {self.BETWEEN} ".join([*missing, ""])), np.uint32)
+            width = len(self.between)
+            gap = np.ones(len(ids) - width + 1, bool)
+            for k, i in enumerate(self.between):
+                gap &= ids[k : k + len(gap)] == i
+            gap = np.flatnonzero(gap)
+            sizes = np.diff(np.concatenate([[-width], gap])) - width
+            drop = np.zeros(len(ids), bool)
+            drop[(gap[:, None] + np.arange(width)).ravel()] = True
+            self.learn(missing, ids[~drop], sizes)
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, where each text's ids begin (one more for the end), and after which ids a sentence ends."""
-        starts, ends, at = words_of(data, offsets)
+        starts, ends, at = parts_of(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
         borders = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        packed = data[~_SPACE[data]]
+        packed = lowered(data)[~_SPACE[data]]
         words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(borders), pa.py_buffer(packed))
         coded = words.dictionary_encode()
         number = self.look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        begins = np.array(self.begins, np.int64)
-        sizes = np.diff(begins)[number]
+        sizes = np.diff(self.begins)[number]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        where = np.repeat(begins[number] - total[:-1], sizes) + np.arange(total[-1])
-        last = data[ends - 1]
-        gap = np.minimum(ends, len(data) - 1)
-        closed = np.isin(last, np.frombuffer(b".!?", np.uint8)) | (data[gap] == 10)
+        where = np.repeat((self.begins[number] - total[:-1]).astype(np.int32), sizes)
+        where += np.arange(total[-1], dtype=np.int32)
+        gap = data[np.minimum(ends, len(data) - 1)]
+        closed = (np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)) & _SPACE[gap]) | (gap == 10)
         return self.ids[where], total[at], total[1:][closed]
 
 
@@ -84,11 +132,11 @@ def cuts(n: int, documents: np.ndarray, sentences: np.ndarray, length: int) -> n
     sentences, places STEP apart. The best predecessor of a place is the least of cost plus position among those not
     more than ``length`` before it, kept in a queue of rising values, so each place enters and leaves once.
     """
-    places = np.unique(np.concatenate([[0], documents, sentences, [n]]))
+    places = distinct(np.concatenate([[0], documents, sentences, [n]]))
     wide = np.flatnonzero(np.diff(places) > length // 4)
     extra = [np.arange(places[i] + STEP, places[i + 1], STEP) for i in wide]
     inner = np.concatenate(extra) if extra else np.zeros(0, np.int64)
-    places = np.unique(np.concatenate([places, inner]))
+    places = distinct(np.concatenate([places, inner]))
     cost = np.full(len(places), AT_SENTENCE)
     cost[np.isin(places, inner)] = INSIDE
     cost[np.isin(places, documents)] = AT_DOCUMENT
@@ -142,7 +190,7 @@ class _Block:
         windows = cuts(self.n, ends, np.concatenate(self.sentences), self.length)
         start = int(windows[-2]) if len(windows) > 1 else 0
         windows = np.concatenate([windows[:-1], _tail(start, self.n, self.length)])
-        stops = np.union1d(ends, windows)
+        stops = distinct(np.concatenate([ends, windows]))
         begins = np.concatenate([[0], stops[:-1]])
         doc, seq = np.searchsorted(ends, stops), np.searchsorted(windows, stops)
         doc_begin = np.concatenate([[0], ends[:-1]])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity
+from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), tokenizer_file())
 
 
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = hostrules.judge(_table(spark, folder, "documents"))
     return judged.select(
@@ -67,6 +71,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_near_vectors": op3_near_vectors,
     "op6_host_rules": op6_host_rules,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_near_duplicates": op8_near_duplicates,
