@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity, vectors
+from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity, vectors, warc
+from orderlore.sources.tables import shared_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_table(spark, folder, "pages"), shared_folder(spark, "warc"))
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = hostrules.judge(_table(spark, folder, "documents"))
     return judged.select(
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_near_vectors": op3_near_vectors,
+    "op5_warc": op5_warc,
     "op6_host_rules": op6_host_rules,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_near_duplicates": op8_near_duplicates,
@@ -158,4 +164,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, shor
 FROM ruled r LEFT JOIN bad b ON r.source IS NOT DISTINCT FROM b.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": _OP1_SQL, "op6_host_rules": _OP6_SQL}
+_OP5_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes, sha1(COALESCE(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN MAX(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM q
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mixing": _OP1_SQL, "op5_warc": _OP5_SQL, "op6_host_rules": _OP6_SQL}
