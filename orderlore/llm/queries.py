@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, toxicity, vectors, warc
+from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
 from orderlore.sources.tables import shared_folder
 
 
@@ -39,6 +39,11 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(_table(spark, folder, "pages"), shared_folder(spark, "warc"))
 
 
+def op4_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffix.without_repeated_strings(_table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = hostrules.judge(_table(spark, folder, "documents"))
     return judged.select(
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_near_vectors": op3_near_vectors,
+    "op4_repeated_strings": op4_repeated_strings,
     "op5_warc": op5_warc,
     "op6_host_rules": op6_host_rules,
     "op7_fuzzy_lines": op7_fuzzy_lines,
