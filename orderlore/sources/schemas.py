@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 # --- fixed values: input tables ---------------------------------------------
@@ -138,8 +139,8 @@ class Window:
 
     @classmethod
     def next_days(cls, as_of: dt.date | None = None, days: int = 8) -> "Window":
-        """The scoring horizon: ``days`` days from ``as_of`` (today when not given)."""
-        first = as_of or dt.date.today()
+        """The scoring horizon: ``days`` days from ``as_of`` (when not given, today in the session's time zone)."""
+        first = as_of or SparkSession.active().sql("SELECT current_date()").first()[0]
         return cls(first, first + dt.timedelta(days=days))
 
 

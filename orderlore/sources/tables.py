@@ -84,9 +84,26 @@ class Tables(Mapping[str, DataFrame]):
         return cls({name: opener(name) for name in TABLE_SCHEMAS})
 
 
-def remote_query(spark: SparkSession, options: Mapping[str, str], query: str, columns: Mapping[str, str]) -> DataFrame:
-    """A query run by another database, its result given declared column types."""
-    result = spark.read.format("jdbc").options(**options).option("query", query).load()
+def remote_query(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    query: str,
+    columns: Mapping[str, str],
+    split: tuple[str, int, int, int] | None = None,
+) -> DataFrame:
+    """A query run by another database, its result given declared column types.
+
+    ``split``, a numeric column with lower bound, upper bound and parts, lets many tasks read.
+    """
+    reader = spark.read.format("jdbc").options(**options)
+    if split:
+        column, low, high, parts = split
+        reader = reader.options(
+            partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts)
+        ).option("dbtable", f"({query}) q")
+    else:
+        reader = reader.option("query", query)
+    result = reader.load()
     return result.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
 
 
@@ -102,20 +119,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate once as Parquet and go on from the files.
 
     For results that several jobs read: unlike a cache it survives lost
     executors, and unlike a plan it is computed once.
     """
     path = shared_folder(df.sparkSession, purpose)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cluster_by_user(df: DataFrame, table: str, buckets: int, column: str = "user_id") -> None:
-    """Save a table bucketed by user, so that history jobs need no shuffle to find a user's rows."""
-    df.write.bucketBy(buckets, column).sortBy(column).mode("overwrite").saveAsTable(table)
-
-

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,8 @@ def session():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

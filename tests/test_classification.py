@@ -6,6 +6,7 @@ from factory import table, tables
 from pyspark.sql import functions as F
 
 from orderlore.operators import classification as cl
+from orderlore.functions.json import unpack_changes
 from orderlore.operators import history as hi
 
 
@@ -169,6 +170,16 @@ def test_change_documents(spark):
     assert got == [("a", "12"), ("b", None)]
 
 
+def test_elements_of_change_documents_are_read_one_by_one(spark):
+    documents = ['[1,{"name":"a","object":"x"}]', '["s",{"name":"b","object":1.50}]', '[null,{"name":"c","object":{"k":[1]}},[2]]']
+    df = spark.createDataFrame(list(enumerate(documents)), "id int, doc string")
+    got = [tuple(r) for r in unpack_changes(df, "doc", "id").collect()]
+    assert sorted(got, key=str) == sorted(
+        [(0, None, None), (0, "a", "x"), (1, None, None), (1, "b", "1.5"), (2, None, None), (2, "c", '{"k":[1]}'), (2, None, None)],
+        key=str,
+    )
+
+
 def test_escaped_words_are_still_found(spark):
     escaped = '[{"name":"workflow\\u005fstate","object":"canceled"}]'
     deltas = table(spark, "deltas", {"user_id": 1, "model_id": 1, "model_type": "Order", "object": escaped})

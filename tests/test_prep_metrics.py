@@ -5,6 +5,7 @@ import random
 
 import pytest
 from factory import table
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from orderlore.operators import metrics as me
@@ -12,7 +13,7 @@ from orderlore.operators import prep as pr
 from orderlore.operators import segments as sg
 from orderlore.sources.files import read_matrix, write_csv
 from orderlore.sources.schemas import MATRIX_SCHEMA
-from orderlore.sources.tables import Tables, cluster_by_user, materialise, shared_folder
+from orderlore.sources.tables import Tables, materialise, shared_folder
 
 
 def test_fills(spark):
@@ -35,9 +36,13 @@ def test_standardize_uses_the_population_deviation(spark):
 def test_codes_follow_the_order_of_values(spark):
     df = spark.createDataFrame([(10, "b"), (9, "a"), (10, "a")], "hour int, kind string")
     encoded, classes = pr.label_encode(df, "hour")
-    assert classes == [9, 10] and [r.hour for r in encoded.collect()] == [1, 0, 1]
+    assert sorted((r.value, r.code) for r in classes.collect()) == [(9, 0), (10, 1)]
+    assert sorted((r.kind, r.hour) for r in encoded.collect()) == [("a", 0), ("a", 1), ("b", 1)]
     hot, classes = pr.one_hot(df, "kind")
-    assert hot.columns == ["hour", "kind0", "kind1"] and [tuple(r)[1:] for r in hot.collect()] == [(0, 1), (1, 0), (1, 0)]
+    assert hot.columns == ["hour", "kind0", "kind1"]
+    assert sorted(tuple(r) for r in hot.collect()) == [(9, 1, 0), (10, 0, 1), (10, 1, 0)]
+    other, _ = pr.label_encode(spark.createDataFrame([(1, "b")], "hour int, kind string"), "kind", classes)
+    assert [r.kind for r in other.collect()] == [1]
     for value in ("c", None):
         unseen = spark.createDataFrame([(1, value)], "hour int, kind string")
         with pytest.raises(PySparkException):
@@ -46,6 +51,13 @@ def test_codes_follow_the_order_of_values(spark):
             pr.one_hot(unseen, "kind", classes)[0].collect()
 
 
+def test_codes_of_very_many_values(spark):
+    df = spark.range(150_000).select((F.col("id") * 7 % 150_000).alias("id"))
+    encoded, _ = pr.label_encode(df.withColumn("value_", F.col("id")), "id")
+    row = encoded.agg(F.count("*"), F.count_if(F.col("id") != F.col("value_"))).first()
+    assert tuple(row) == (150_000, 0)
+
+
 def test_powers_and_sparse_columns(spark):
     df = spark.createDataFrame([(4, -1.0), (9, None)], "a long, b double")
     row = pr.power_features(df, ["a", "b"]).first()
@@ -76,6 +88,12 @@ def _auc(spark, pairs):
     return me.roc_auc(spark.createDataFrame(pairs, "y int, p double"), "y", "p").first().auc
 
 
+def test_auc_refuses_what_is_no_score(spark):
+    for pair in ((0, None), (0, float("nan")), (None, 0.5)):
+        with pytest.raises(PySparkException):
+            _auc(spark, [(1, 0.9), (0, 0.1), pair])
+
+
 def test_auc(spark):
     assert _auc(spark, [(0, 0.1), (1, 0.4), (0, 0.4), (1, 0.8)]) == 0.875
     assert _auc(spark, [(1, 0.1), (1, 0.4)]) is None
@@ -122,4 +140,3 @@ def test_tables_from_views_and_buckets(spark):
     assert Tables.catalog(spark, "t_")["orders"].count() == 2
     kept = materialise(spark.range(3), "test")
     assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
-    assert callable(cluster_by_user)
