@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlore.llm.common import components, distinct, in_chunks, located, minwise, multipliers, stored
+from orderlore.llm.common import components, distinct, fresh, in_chunks, located, minwise, multipliers, stored
 from orderlore.sources.tables import materialise
 
 SIZE = 10  # characters of a shingle, white space left out
 PERCENT = 75  # least similarity of a link, in hundredths
 BANDS, ROWS = 8, 3  # a pair at the least similarity shares no band with probability (1 - 0.75 ** 3) ** 8, 1.3 %
 LEAST = 20  # lines of fewer characters repeat by chance and stay
-CHUNK = 1 << 20  # characters that a task hashes at once
+CHUNK = 1 << 19  # bytes of text that a task hashes at once
 
 _FACTORS = multipliers(BANDS * ROWS, 7_310)
 _BASE = 0x9E3779B97F4A7C15
@@ -65,7 +65,8 @@ def _rolled(points: np.ndarray) -> np.ndarray:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per line of at least LEAST characters: its place, a key of its characters, its bands."""
+    """Per line of at least LEAST characters: its place, a key of its characters, and its bands unless the same chunk
+    has had them from an equal line."""
     for chunk in in_chunks(batches, "text", CHUNK):
         points, begins, text, number = _plain([t or "" for t in chunk.column("text").to_pylist()])
         use = np.flatnonzero(np.diff(begins) >= LEAST)
@@ -82,6 +83,9 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands ^= bands >> np.uint64(31)
         held = points.tobytes()
         keys = [xxhash.xxh3_128_digest(held[4 * begins[i] : 4 * begins[i + 1]]) for i in use]
+        seen: set[bytes] = set()
+        again = np.array([k in seen or seen.add(k) is not None for k in keys])
+        ends = np.concatenate([[0], np.cumsum(np.where(again, 0, BANDS))])
         rows = pa.array(text[use])
         yield pa.RecordBatch.from_arrays(
             [
@@ -90,14 +94,30 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chunk.column("doc_id").take(rows),
                 pa.array(number[use], pa.int32()),
                 pa.array(keys, pa.binary()),
-                pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64).ravel())
-                ),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[~again].view(np.int64).ravel())),
             ],
             ["file", "at", "doc_id", "line", "key", "bands"],
         )
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive by band and id; each further id of a band is paired with the band's first one."""
+    band = low = None
+    for batch in batches:
+        bands, ids = batch.column("band").to_numpy(), batch.column("id").to_numpy()
+        if not len(bands):
+            continue
+        new = np.ones(len(bands), bool)
+        new[1:] = bands[1:] != bands[:-1]
+        new[0] = band is None or bands[0] != band
+        first = np.where(new, np.arange(len(bands)), -1)
+        first = np.maximum.accumulate(first)
+        lows = np.where(first >= 0, ids[first], ids[0] if low is None else low)
+        band, low = bands[-1], lows[-1]
+        keep = lows != ids
+        yield pa.RecordBatch.from_arrays([pa.array(lows[keep]), pa.array(ids[keep])], ["low", "id"])
+
+
 def _named_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of the lines that are named by number, with their keys."""
     for batch in batches:
@@ -144,9 +164,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         docs.mapInArrow(_lines, "file long, at long, doc_id long, line int, key binary, bands array<long>"), "lines"
     )
     banded = lines.select(F.explode("bands").alias("band"), _number("key").alias("id"))
-    low = banded.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    pairs = banded.join(low.select("band", "low"), "band").where("id <> low").select("low", "id").distinct()
-    pairs = stored(pairs, "line-pairs")
+    # a band's rows pass as a stream of two numbers each; equal lines have been thinned before
+    banded = banded.repartition("band").sortWithinPartitions("band", "id")
+    pairs = stored(banded.mapInArrow(_stars, "low long, id long").distinct(), "line-pairs")
     ids = pairs.select("id").union(pairs.select("low")).distinct()
     once = lines.select("file", "at", "line", "key", _number("key").alias("id")).join(ids, "id")
     once = once.groupBy("key").agg(F.first(F.struct("file", "at", "line", "id")).alias("x"))
@@ -176,7 +196,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, n_lines, n_removed = [], [], []
-        for text, removed in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist(), strict=True):
+        for text, removed in zip(*(batch.column(i).to_pylist() for i in (-2, -1)), strict=True):
             lines = (text or "").split("\n")
             n_lines.append(len(lines) if text else 0)
             n_removed.append(len(removed or ()))
@@ -206,8 +226,9 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     rows, file, at = located(docs)
     gone = repeated_lines(rows.select(F.col(file).alias("file"), F.col(at).alias("at"), "doc_id", "text"))
     gone = stored(gone, "cut-lines").groupBy("file", "at").agg(F.collect_list("line").alias("removed"))
-    gone = gone.select(F.col("file").alias(file), F.col("at").alias(at), "removed")
-    whole = rows.join(gone, [file, at], "left").select(*others, "text", "removed")
+    removed = fresh(docs, "removed")
+    gone = gone.select(F.col("file").alias(file), F.col("at").alias(at), F.col("removed").alias(removed))
+    whole = rows.join(gone, [file, at], "left").select(*others, "text", removed)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "text string", "n_lines long", "n_removed long"])
     return whole.mapInArrow(_cut, schema).select(*names, "n_lines", "n_removed")
