@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -324,7 +324,8 @@ PREP_QUERIES: dict[str, Query] = {
 # Learned numbers cannot be told in SQL, so the queries return what can: the rows that a model scores, whether each score
 # is a probability, and whether a search or a stopping rule did what it says. The functions of models.py return the values.
 
-_is_probability = F.col("will_cancel").between(0, 1).alias("is_probability")
+def _is_probability() -> Column:
+    return F.col("will_cancel").between(0, 1).alias("is_probability")
 
 
 def final_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel, str]:
@@ -339,7 +340,7 @@ def final_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel,
 
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
     scored = final_model(spark, folder)[0].score(_validation(spark, folder), training=True)
-    return scored.select("order_id", "cancel", _is_probability)
+    return scored.select("order_id", "cancel", _is_probability())
 
 
 def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -347,22 +348,23 @@ def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
     rows = _segment_rows(spark, folder)
     preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
     model = mo.train_gbt(rows, preparation)
-    return model.score(rows, training=True).select("order_id", "segments", "cancel", _is_probability)
+    return model.score(rows, training=True).select("order_id", "segments", "cancel", _is_probability())
 
 
 def train_mlp(spark: SparkSession, folder: str) -> DataFrame:
     model = mo.train_mlp(_train(spark, folder))
-    return model.score(_validation(spark, folder)).select("order_id", "cancel", _is_probability)
+    return model.score(_validation(spark, folder)).select("order_id", "cancel", _is_probability())
 
 
-_auc_in_range = F.col("auc").between(0, 1).alias("auc_in_range")
+def _auc_in_range() -> Column:
+    return F.col("auc").between(0, 1).alias("auc_in_range")
 
 
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
     """Two small settings: the published grid has 600 fits, see the README."""
     folded = me.kfold_split(_train(spark, folder), mo.FOLDS, mo.FOLD_SEED)
     table = mo.cross_validate(folded, mo.settings_of({"maxIter": [2, 4], "maxDepth": [3], "stepSize": [0.2]}))
-    return table.select("setting", "folds", _auc_in_range)
+    return table.select("setting", "folds", _auc_in_range())
 
 
 def cross_validate_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -371,14 +373,14 @@ def cross_validate_segments(spark: SparkSession, folder: str) -> DataFrame:
     preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
     folded = materialise(me.kfold_split(rows, mo.FOLDS, mo.FOLD_SEED), "folded")
     table = mo.cross_validate(folded, mo.settings_of(mo.SEGMENT_GRID), preparation)
-    return table.select("setting", "folds", _auc_in_range)
+    return table.select("setting", "folds", _auc_in_range())
 
 
 def grid_search(spark: SparkSession, folder: str) -> DataFrame:
     """The published search with few trees: in full it fits 6 x 1000, see the README."""
     folded = me.kfold_split(_train(spark, folder), mo.SAMPLED_FOLDS, mo.FOLD_SEED)
     table = mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 3}, {"maxDepth": [4], "minInstancesPerNode": [1, 3]})[1]
-    return table.select("setting", _auc_in_range)
+    return table.select("setting", _auc_in_range())
 
 
 def _holdout(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -444,7 +446,7 @@ def score_orders(spark: SparkSession, folder: str) -> DataFrame:
         lambda scores: write_csv(scores, output),
     )
     scores = spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
-    return scores.select("order_id", _is_probability)
+    return scores.select("order_id", _is_probability())
 
 
 MODEL_QUERIES: dict[str, Query] = {
