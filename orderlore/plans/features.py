@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlore.functions.columns import share
 from orderlore.operators.classification import classified_orders
+from orderlore.operators.joins import left_join_nullable
 from orderlore.operators.history import change_summary
 from orderlore.operators.population import orders_general_info, population, shift_counts
 from orderlore.operators.recency import history_columns, history_measures
@@ -80,4 +81,4 @@ def feature_matrix_segments(
     matrix = _matrix(tables, "train", window, fanout, strict_past, classified, changes)
     tracked = trackings(tables["web_events"], app_id, since)
     segments = user_segments(tracked, latest_segments(tables["segment_uploads"]), dedupe)
-    return matrix.join(segments, "user_id", "left").drop("user_id")
+    return left_join_nullable(matrix, segments, "user_id", "user_id", "order_id").drop("user_id")
