@@ -303,7 +303,7 @@ def test_quality_is_learned(labelled, docs, nothing, rows):
     texts, labels = labelled
     part = quality.remainder("doc_id", 4)
     model = quality.fit(texts, labels.where(part != 2))
-    assert _accuracy(quality.score(texts, model), labels.where(part == 2), "quality", quality.KEEP) > 0.95
+    assert _accuracy(quality.score(texts, model), labels.where(part == 2), "quality", quality.KEEP) > 0.9
     odd = quality.score(docs, model)
     assert odd.count() == len(rows) and odd.where("score between 0 and 1").count() == len(rows)
     assert quality.score(nothing, model).count() == 0
