@@ -10,7 +10,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlore.llm.common import components, distinct, fresh, in_chunks, located, minwise, multipliers, stored
+from orderlore.llm.common import (
+    by_group,
+    components,
+    distinct,
+    fresh,
+    in_chunks,
+    located,
+    minwise,
+    mixed,
+    multipliers,
+    stored,
+)
 from orderlore.sources.tables import materialise
 
 SIZE = 10  # characters of a shingle, white space left out
@@ -18,8 +29,12 @@ PERCENT = 75  # least similarity of a link, in hundredths
 BANDS, ROWS = 8, 3  # a pair at the least similarity shares no band with probability (1 - 0.75 ** 3) ** 8, 1.3 %
 LEAST = 20  # lines of fewer characters repeat by chance and stay
 CHUNK = 1 << 19  # bytes of text that a task hashes at once
+NODE = 1 << 17  # a bucket of up to so many characters is compared exhaustively
+BRANCHES = 4  # further minwise values by which a larger bucket is split
+DEPTH = 3  # levels of splitting before a bucket is compared in blocks
 
 _FACTORS = multipliers(BANDS * ROWS, 7_310)
+_FURTHER = multipliers(DEPTH * BRANCHES, 7_311)
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(128, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -101,8 +116,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive by band and id; each further id of a band is paired with the band's first one."""
-    band = low = None
+    """Rows arrive by band and id; each further id of a band is paired with the band's first one, once."""
+    band = low = last = None
     for batch in batches:
         bands, ids = batch.column("band").to_numpy(), batch.column("id").to_numpy()
         if not len(bands):
@@ -113,9 +128,12 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.where(new, np.arange(len(bands)), -1)
         first = np.maximum.accumulate(first)
         lows = np.where(first >= 0, ids[first], ids[0] if low is None else low)
-        band, low = bands[-1], lows[-1]
-        keep = lows != ids
-        yield pa.RecordBatch.from_arrays([pa.array(lows[keep]), pa.array(ids[keep])], ["low", "id"])
+        again = ~new
+        again[1:] &= ids[1:] == ids[:-1]
+        again[0] &= last is not None and ids[0] == last
+        band, low, last = bands[-1], lows[-1], ids[-1]
+        keep = (lows != ids) & ~again
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (bands, lows, ids)], ["band", "low", "id"])
 
 
 def _named_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,11 +169,132 @@ def _number(key: str):
     return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
 
 
+def _shingled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all lines behind each other, and where each line's begin (one more for the end)."""
+    points, begins, _, _ = _plain(texts)
+    counts = np.diff(begins) - SIZE + 1
+    at = np.concatenate([[0], np.cumsum(counts)])
+    return _rolled(points)[np.repeat(begins[:-1] - at[:-1], counts) + np.arange(at[-1])], at
+
+
+def _split(level: int):
+    """Each line goes to one smaller bucket for each of the level's further minwise values."""
+    factors = _FURTHER[level * BRANCHES : (level + 1) * BRANCHES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in in_chunks(batches, "text", CHUNK):
+            least = minwise(*_shingled(chunk.column("text").to_pylist()), factors).astype(np.uint64)
+            node = chunk.column("node").to_numpy().view(np.uint64)
+            for k in range(BRANCHES):
+                child = mixed(mixed(node + np.uint64(k + 1)) ^ least[:, k])
+                others = [chunk.column(c) for c in ("id", "comp", "chars")]
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *others], ["node", "id", "comp", "chars"])
+
+    return run
+
+
+def _joined(texts: list[str], comp: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of similar lines of different components, as few as join what all of them join."""
+    n, links = len(texts), []
+    values, at = _shingled(texts)
+    owner = np.repeat(np.arange(n), np.diff(at))
+    order = np.lexsort((owner, values))
+    values, owner = values[order], owner[order]
+    new = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
+    values, owner = values[new], owner[new]
+    start, stop = (np.searchsorted(values, values, side) for side in ("left", "right"))
+    sizes = np.bincount(owner, minlength=n)
+    of, ends = np.argsort(owner, kind="stable"), np.cumsum(sizes)
+    for i in range(n):
+        if (comp == comp[i]).all():
+            break
+        own = of[ends[i] - sizes[i] : ends[i]]
+        lengths = stop[own] - start[own]
+        where = np.repeat(start[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        both = np.bincount(owner[where], minlength=n)
+        for j in np.flatnonzero((100 * both >= PERCENT * (sizes + sizes[i] - both)) & (comp != comp[i])):
+            if comp[j] != comp[i]:
+                links.append((i, int(j)))
+                comp[comp == comp[j]] = comp[i]
+    return links
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components within each bucket; rows arrive by bucket."""
+    for table in by_group(batches, "node"):
+        nodes = table["node"].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1], True])
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            group = table.slice(begin, end - begin)
+            keys = group["key"].to_pylist()
+            links = _joined(group["text"].to_pylist(), group["comp"].to_numpy().copy())
+            if links:
+                ends = [pa.array([keys[x[side]] for x in links], pa.binary()) for side in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+
+def _mixed_buckets(rows: DataFrame, lines: int) -> DataFrame:
+    """Rows of the buckets of at least so many lines that stand in several components, with the bucket's characters;
+    of buckets with equal lines one."""
+    of = rows.groupBy("node").agg(
+        F.count("*").alias("lines"), F.sum("chars").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+        F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("members"),
+    )
+    of = of.where(F.col("lines") >= lines).where("c0 <> c1").groupBy("lines", "members")
+    return rows.join(of.agg(F.min(F.struct("node", "n")).alias("x")).select("x.*"), "node")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Large buckets as pairs of blocks. A component that fills blocks of its own is not compared with itself."""
+    half = NODE / 2
+    own = rows.groupBy("node", "comp").agg(F.sum("chars").alias("own"))
+    solo = own.withColumn("solo", F.col("own") > half)
+    rest = solo.groupBy("node").agg(F.sum(F.when(F.col("solo"), 0).otherwise(F.col("own"))).alias("rest"))
+    dealt = rows.join(solo, ["node", "comp"]).join(rest, "node")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / half))
+    alone = F.xxhash64("node", "comp", block("own"))
+    dealt = dealt.withColumn("block", F.when(F.col("solo"), alone).otherwise(F.xxhash64("node", block("rest"))))
+    dealt = dealt.withColumn("filled", F.when(F.col("solo"), F.col("comp")))
+    dealt = materialise(dealt.select("node", "id", "comp", "block", "filled"), "line-blocks")
+    blocks = dealt.select("node", "block", "filled").distinct()
+    pairs = blocks.join(blocks.select("node", F.col("block").alias("block_b"), F.col("filled").alias("filled_b")), "node")
+    pairs = pairs.where("block <= block_b AND (filled IS NULL OR filled_b IS NULL OR filled <> filled_b)")
+    pair = F.xxhash64("node", "block", "block_b").alias("pair")
+    sides = F.explode(F.array_distinct(F.array("block", "block_b"))).alias("block")
+    pairs = pairs.select("node", pair, "block", "block_b").select("node", "pair", sides)
+    return dealt.join(pairs, ["node", "block"]).select(F.col("pair").alias("node"), "id", "comp")
+
+
+def _rest(stars: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the components that ``links`` leave within a bucket of bands: small buckets whole, large ones split by
+    further minwise values, the rest in blocks."""
+    comp = components(links).select(_number("node").alias("id"), _number("component").alias("component"))
+    named = texts.select(_number("key").alias("id"), "key", "text")
+    rows = stars.select("band", "id").unionAll(stars.select("band", F.col("low").alias("id")).distinct())
+    rows = rows.join(comp, "id", "left").join(named.select("id", F.length("text").cast("long").alias("chars")), "id")
+    rows = rows.select(F.col("band").alias("node"), "id", F.coalesce("component", "id").alias("comp"), "chars")
+    rows = stored(_mixed_buckets(rows, 3), "line-buckets")  # the star has compared both lines of a bucket of two
+    columns = ["node", "id", "comp"]
+    nodes, large = rows.where(F.col("n") <= NODE).select(columns), rows.where(F.col("n") > NODE)
+    for level in range(DEPTH):
+        if large.isEmpty():
+            break
+        wide = large.drop("n").join(named.select("id", "text"), "id")
+        split = wide.mapInArrow(_split(level), "node long, id long, comp long, chars long").distinct()
+        rows = stored(_mixed_buckets(split, 2), "line-buckets")
+        nodes, large = nodes.unionAll(rows.where(F.col("n") <= NODE).select(columns)), rows.where(F.col("n") > NODE)
+    if not large.isEmpty():
+        nodes = nodes.unionAll(_in_blocks(large).select(columns))
+    whole = nodes.join(named, "id").repartition("node").sortWithinPartitions("node")
+    return stored(whole.select("node", "comp", "key", "text").mapInArrow(_linked, "a binary, b binary"), "line-links")
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """The lines to remove: (file, at, line) of ``docs`` (file, at, doc_id, text).
 
     Lines are compared without white space and case of A-Z. Equal lines share a key. Of different ones, each
-    is tried with the least one of every band bucket that it falls into, pairs are confirmed by the exact Jaccard
+    is first tried with the least one of every band bucket that it falls into; buckets whose lines then still stand in
+    several components are compared exhaustively (see ``_rest``). Pairs are confirmed by the exact Jaccard
     similarity of their character shingles, and links are joined to components. Of all lines of a component the
     first stays: smallest doc_id (null last), then line, then row.
     """
@@ -166,7 +305,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     banded = lines.select(F.explode("bands").alias("band"), _number("key").alias("id"))
     # a band's rows pass as a stream of two numbers each; equal lines have been thinned before
     banded = banded.repartition("band").sortWithinPartitions("band", "id")
-    pairs = stored(banded.mapInArrow(_stars, "low long, id long").distinct(), "line-pairs")
+    stars = stored(banded.mapInArrow(_stars, "band long, low long, id long"), "line-stars")
+    pairs = stored(stars.select("low", "id").distinct(), "line-pairs")
     ids = pairs.select("id").union(pairs.select("low")).distinct()
     once = lines.select("file", "at", "line", "key", _number("key").alias("id")).join(ids, "id")
     once = once.groupBy("key").agg(F.first(F.struct("file", "at", "line", "id")).alias("x"))
@@ -180,6 +320,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     keyed = keyed.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     keyed = keyed.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     links = stored(keyed.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a binary, b binary"), "line-links")
+    links = links.unionAll(_rest(stars, links, texts))
     joined = components(links).withColumnRenamed("node", "key")
     again = lines.groupBy("key").count().where("count > 1").select("key")
     group = again.join(joined, "key", "full").withColumn("component", F.coalesce("component", "key"))

@@ -1,6 +1,7 @@
 """The operators against plain versions of themselves, on small tables with every odd case."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -265,6 +266,26 @@ def test_lines(docs, rows, nothing):
     assert lines.without_repeated_lines(nothing).count() == 0
 
 
+@pytest.mark.parametrize("node", [1 << 17, 2])
+def test_lines_of_one_bucket(spark, monkeypatch, node):
+    monkeypatch.setattr(lines, "NODE", node)  # 2: buckets are split and compared in blocks
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    texts = []
+    for _ in range(6):  # a base and variants that are similar to the base, but not to each other
+        base = letters(130)
+        texts += [base, *(base[:k] + letters(2) + base[k + 2 :] for k in range(10, 121, 11))]
+    for _ in range(6):  # lines of a template in pairs; only those of a pair are similar
+        frame = letters(90)
+        for own in (letters(34) for _ in range(12)):
+            texts += [frame + own, frame + own[:-3] + letters(3)]
+    rng.shuffle(texts)
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    cut = lines.without_repeated_lines(spark.createDataFrame(rows, helpers.SCHEMA))
+    got = {r.doc_id: r.n_removed for r in cut.collect()}
+    assert [got[i] for i in range(len(rows))] == helpers.cut_lines(rows)
+
+
 # --- near duplicates --------------------------------------------------------------------
 
 @pytest.mark.parametrize("node", [2048, 2])
