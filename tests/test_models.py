@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orderlore.operators.metrics import kfold_split, roc_auc
 from orderlore.plans import models as mo
+from orderlore.plans import registry
 from orderlore.sources.files import write_csv
 from orderlore.sources.schemas import FEATURES, MATRIX_SCHEMA, MEAN_FILLED
 from orderlore.sources.tables import materialise, shared_folder
@@ -101,3 +102,31 @@ def test_segments_beside_features(matrix):
     model = mo.train_gbt(rows, preparation, maxIter=1, maxDepth=1)
     assert _auc(model.score(rows)) == 1.0
     assert mo.feature_importance(model).first().feature == "x"
+
+
+def test_registered_at_published_size(matrix, monkeypatch):
+    """What the registered searches ask for; nothing is fitted."""
+    asked = {}
+
+    def noted(name, *result):
+        def run(*args, **named):
+            asked[name] = (args, named)
+            return result if len(result) > 1 else result[0]
+
+        return run
+
+    spark = matrix.sparkSession
+    table = spark.createDataFrame([("{}", 1, 0.5, 1.0)], "setting string, folds int, auc double, seconds double")
+    curve = spark.createDataFrame([(1, 0.5, True)], "round int, auc double, chosen boolean")
+    rows = matrix.withColumn("segments", F.lit("x"))
+    monkeypatch.setattr(registry, "_train", lambda *_: matrix)
+    monkeypatch.setattr(registry, "_segment_rows", lambda *_: rows)
+    monkeypatch.setattr(mo, "cross_validate", noted("cross_validate", table))
+    monkeypatch.setattr(mo, "grid_search", noted("grid_search", None, table))
+    monkeypatch.setattr(mo, "early_stopping", noted("early_stopping_segments", None, curve))
+    for name in ("cross_validate", "grid_search", "early_stopping_segments"):
+        registry.MODEL_QUERIES[name](spark, "")
+    assert asked["cross_validate"][0][1] == mo.settings_of(mo.GRID)
+    assert asked["grid_search"][0][1:] == (mo.SAMPLED, mo.SAMPLED_GRID)
+    assert asked["early_stopping_segments"][0][3:] == (mo.PATIENCE,)
+    assert asked["early_stopping_segments"][1] == mo.EARLY_SEGMENTS
