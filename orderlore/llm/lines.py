@@ -31,6 +31,7 @@ LEAST = 20  # lines of fewer characters repeat by chance and stay
 CHUNK = 1 << 19  # bytes of text that a task hashes at once
 NODE = 1 << 17  # a bucket of up to so many characters is compared exhaustively
 BRANCHES = 4  # further minwise values by which a larger bucket is split
+COPIES = 8  # a larger bucket is compared in blocks at once if that takes up to so many copies of a line
 DEPTH = 3  # levels of splitting before a bucket is compared in blocks
 
 _FACTORS = multipliers(BANDS * ROWS, 7_310)
@@ -244,6 +245,16 @@ def _mixed_buckets(rows: DataFrame, lines: int) -> DataFrame:
     return rows.join(of.agg(F.min(F.struct("node", "n")).alias("x")).select("x.*"), "node")
 
 
+def _divided(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the large buckets that are compared in blocks with at most COPIES copies of a row, since most of their lines
+    stand in one component, and rows of the others."""
+    own = large.groupBy("node", "comp").agg(F.sum("chars").cast("double").alias("own"))
+    work = own.groupBy("node").agg(F.sum("own").alias("all"), F.sum(F.col("own") * F.col("own")).alias("same"))
+    few = (F.col("all") * F.col("all") - F.col("same") <= COPIES * NODE / 2 * F.col("all")).alias("few")
+    told = stored(large.join(work.select("node", few), "node"), "line-buckets")
+    return told.where("few").drop("few"), told.where("NOT few").drop("few")
+
+
 def _in_blocks(rows: DataFrame) -> DataFrame:
     """Large buckets as pairs of blocks. A component that fills blocks of its own is not compared with itself."""
     half = NODE / 2
@@ -277,6 +288,10 @@ def _rest(stars: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
     columns = ["node", "id", "comp"]
     nodes, large = rows.where(F.col("n") <= NODE).select(columns), rows.where(F.col("n") > NODE)
     for level in range(DEPTH):
+        if large.isEmpty():
+            break
+        blocks, large = _divided(large)
+        nodes = nodes.unionAll(_in_blocks(blocks).select(columns))
         if large.isEmpty():
             break
         wide = large.drop("n").join(named.select("id", "text"), "id")
