@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlore.llm.common import _LOWER, in_chunks, span_hashes, text_bytes, words_of
@@ -159,10 +159,18 @@ def learn_lexicons(sample: DataFrame) -> list[Lexicon]:
     schema = "kind int, entry long, n00 long, n01 long, n10 long, n11 long"
     counted = sample.select("label", "half", "text").mapInArrow(_entries, schema)
     counted = counted.groupBy("kind", "entry").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")])
-    got = counted.where(F.col("n10") + F.col("n11") >= LEAST_DOCUMENTS).where("n10 + n11 > n00 + n01").toPandas()
+    parts = ((0,), (1,), (0, 1))
+
+    def may_enter(halves: tuple[int, ...]) -> Column:
+        clean, toxic = (sum((F.col(f"n{x}{h}") for h in halves), F.lit(0)) for x in (0, 1))
+        n = [sum(size.get((x, h), 0) for h in halves) + 1 for x in (0, 1)]
+        odds = F.log((toxic + 0.5) / n[1]) - F.log((clean + 0.5) / n[0])
+        return (toxic >= LEAST_DOCUMENTS) & (odds >= LEAST_ODDS - 1e-9)  # told exactly below
+
+    got = counted.where(may_enter(parts[0]) | may_enter(parts[1]) | may_enter(parts[2])).toPandas()
     base = _hashes(INSULTS)
     lexicons = []
-    for halves in ((0,), (1,), (0, 1)):
+    for halves in parts:
         clean, toxic = (sum(got[f"n{x}{h}"] for h in halves).to_numpy(np.float64) for x in (0, 1))
         n = [sum(size.get((x, h), 0) for h in halves) + 1 for x in (0, 1)]
         odds = np.log((toxic + 0.5) / n[1]) - np.log((clean + 0.5) / n[0])

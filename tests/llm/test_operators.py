@@ -343,6 +343,14 @@ def test_toxicity_is_learned(labelled, docs, nothing, rows):
     assert toxicity.score(docs, toxicity.fit(texts, labels.where("false"))).where("score <> 0").count() == 0
 
 
+def test_rare_toxic_labels_teach_entries(spark):
+    """An entry of 40 of 40 toxic and 80 of 2,000 clean documents: more clean ones, but log odds of 3.2."""
+    own = [(1, i % 2, "zugwort") for i in range(40)]
+    own += [(0, i % 2, "zugwort" if i < 80 else "anderes") for i in range(2_000)]
+    for lexicon in toxicity.learn_lexicons(spark.createDataFrame(own, "label int, half int, text string")):
+        assert np.isin(toxicity._hashes(["zugwort"]), lexicon.entries[0]).all()
+
+
 def test_broken_archive_raises(spark):
     path = shared_folder(spark, "test")
     spark.createDataFrame([("no record",)], "value string").write.text(path)
