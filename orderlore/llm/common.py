@@ -42,19 +42,37 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return out
 
 
+#: Steps of a plan below which each row still is one row of a file.
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "Relation"}
+
+
+def _straight_from_files(docs: DataFrame) -> bool:
+    """Whether nothing but projections and filters stands between the rows and their files."""
+    step = docs._jdf.queryExecution().analyzed()
+    while str(step.getClass().getSimpleName()) in _ROW_BY_ROW:
+        below = step.children()
+        if below.isEmpty():
+            return True
+        step = below.head()
+    return False
+
+
 def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
     """Rows with two columns that name each row for good, a file and a place in it, and the names of the columns.
 
-    Rows that come straight from files are named by file and row number; other rows are written first.
+    Rows that come straight from files are named by file and row number. Others are written first: below a join or an
+    explode one row of a file can be several rows.
     """
     file, at = fresh(docs, "file"), fresh(docs, "at")
     place = lambda df: df.withColumns(
         {file: F.xxhash64("_metadata.file_path"), at: F.col("_metadata.row_index")}
     )
-    try:
-        return place(docs), file, at
-    except AnalysisException:
-        return place(materialise(docs, "rows")), file, at
+    if _straight_from_files(docs):
+        try:
+            return place(docs), file, at
+        except AnalysisException:  # files without row numbers
+            pass
+    return place(materialise(docs, "rows")), file, at
 
 
 # --- components -------------------------------------------------------------------------
@@ -155,9 +173,14 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words in the joined texts, and the index of each text's first word (one more at the end)."""
-    filled = ~_SPACE[data]
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words in the joined texts, and the index of each text's first word (one more at the end).
+
+    ``between`` flags the bytes that are no part of a word.
+    """
+    filled = ~between[data]
     first, last = filled.copy(), filled.copy()
     first[1:] &= ~filled[:-1]
     last[:-1] &= ~filled[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import hostrules, lines, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
+from orderlore.llm import decontaminate, hostrules, lines, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
 from orderlore.sources.tables import shared_folder
 
 
@@ -78,6 +78,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_decontaminate": op11_decontaminate,
 }
 
 
@@ -180,4 +186,36 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM q
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": _OP1_SQL, "op5_warc": _OP5_SQL, "op6_host_rules": _OP6_SQL}
+_OP11_SQL = r"""
+WITH docs AS (
+  SELECT ROW_NUMBER() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+items AS (
+  SELECT item_id,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+sized AS (SELECT *, LEAST(len(words), 10) AS size FROM items WHERE len(words) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i : i + size - 1], ' ') AS held
+  FROM (SELECT *, UNNEST(generate_series(1, len(words) - size + 1)) AS i FROM sized)),
+doc_windows AS (
+  SELECT row_no, size, i, array_to_string(words[i : i + size - 1], ' ') AS held
+  FROM (SELECT row_no, words, size, UNNEST(generate_series(1, len(words) - size + 1)) AS i
+        FROM docs, (SELECT DISTINCT size FROM sized) WHERE len(words) >= size)),
+hits AS (SELECT row_no, size, i, item_id FROM doc_windows JOIN item_windows USING (size, held)),
+hit_words AS (
+  SELECT row_no, COUNT(DISTINCT i + k) AS n_hit
+  FROM (SELECT DISTINCT row_no, i, UNNEST(generate_series(0, size - 1)) AS k FROM hits) GROUP BY row_no),
+hit_items AS (
+  SELECT row_no, COUNT(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT row_no, item_id FROM hits) GROUP BY row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hit, COALESCE(n_items, 0)::BIGINT AS n_items,
+       sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (row_no) LEFT JOIN hit_items USING (row_no)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mixing": _OP1_SQL, "op5_warc": _OP5_SQL, "op6_host_rules": _OP6_SQL,
+                              "op11_decontaminate": _OP11_SQL}
