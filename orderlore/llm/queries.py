@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import decontaminate, hostrules, lines, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
+from orderlore.llm import decontaminate, hostrules, lines, merkle, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
 from orderlore.sources.tables import shared_folder
 
 
@@ -83,6 +83,10 @@ def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(docs, _table(spark, folder, "benchmark"))
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(_table(spark, folder, "documents"), merkle.tampered("doc_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_decontaminate": op11_decontaminate,
+    "op12_merkle": op12_merkle,
 }
 
 
@@ -217,5 +222,70 @@ SELECT doc_id, len(words)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hit_words USING (row_no) LEFT JOIN hit_items USING (row_no)
 """
 
+_OP12_SQL = """
+WITH RECURSIVE texts AS (
+  SELECT doc_id, lang, COALESCE(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
+         || COALESCE(strlen(source) || ':' || source, '-') || COALESCE(strlen(lang) || ':' || lang, '-') AS before,
+         n_chars, COALESCE(strlen(text) || ':' || text, '-') AS after
+  FROM documents),
+crc_table AS (
+  SELECT n, list_reduce(list_prepend(n, generate_series(1, 8)),
+                        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+  FROM (SELECT UNNEST(generate_series(0, 255))::BIGINT AS n)),
+crc_list AS (SELECT list(c ORDER BY n) AS t FROM crc_table),
+claims AS (
+  SELECT *, n_chars + CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                             string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                             lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 7 = 0
+                           THEN 1 ELSE 0 END AS claimed
+  FROM texts, crc_list),
+leaves AS (
+  SELECT ROW_NUMBER() OVER () AS row_no, doc_id, lang,
+         sha256(before || COALESCE(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') || after) AS leaf,
+         sha256(before || COALESCE(strlen(claimed::VARCHAR) || ':' || claimed::VARCHAR, '-') || after) AS claim
+  FROM claims),
+placed AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+lower_nodes AS (
+  SELECT lang, 0 AS level, i, leaf AS d FROM placed
+  UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(d, '' ORDER BY i))
+  FROM (SELECT *, COUNT(*) OVER (PARTITION BY lang) AS many FROM lower_nodes) WHERE many > 1
+  GROUP BY lang, level, i // 2),
+tops AS (
+  SELECT lang, MAX(level) AS levels, arg_max(d, level) AS subroot, ROW_NUMBER() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM lower_nodes GROUP BY lang),
+upper_nodes AS (
+  SELECT 0 AS level, place AS i, subroot AS d FROM tops
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(d, '' ORDER BY i))
+  FROM (SELECT *, COUNT(*) OVER () AS many FROM upper_nodes) WHERE many > 1
+  GROUP BY level, i // 2),
+root AS (SELECT MAX(level) AS upper_levels, arg_max(d, level) AS root FROM upper_nodes),
+above AS (
+  SELECT row_no, claim, levels + upper_levels AS n_steps, UNNEST(generate_series(0, levels + upper_levels - 1)) AS step,
+         placed.lang, i, place, levels
+  FROM placed JOIN tops ON placed.lang IS NOT DISTINCT FROM tops.lang, root),
+steps AS (
+  SELECT row_no, step, step < levels AS low, lang, CASE WHEN step < levels THEN step ELSE step - levels END AS level,
+         CASE WHEN step < levels THEN i >> step ELSE place >> (step - levels) END AS own
+  FROM above),
+siblings AS (
+  SELECT s.row_no, s.step, s.own % 2 AS is_right, COALESCE(a.d, b.d) AS d
+  FROM steps s
+  LEFT JOIN lower_nodes a ON s.low AND a.level = s.level AND a.i = xor(s.own, 1) AND a.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN upper_nodes b ON NOT s.low AND b.level = s.level AND b.i = xor(s.own, 1)),
+proofs AS (SELECT row_no, string_agg(d, '' ORDER BY step) AS joined FROM siblings GROUP BY row_no),
+folded AS (
+  SELECT row_no, 0 AS step, claim AS d FROM placed
+  UNION ALL
+  SELECT f.row_no, f.step + 1,
+         sha256(CASE WHEN s.d IS NULL THEN f.d WHEN s.is_right = 1 THEN s.d || f.d ELSE f.d || s.d END)
+  FROM folded f JOIN siblings s ON f.row_no = s.row_no AND f.step = s.step),
+ends AS (SELECT row_no, arg_max(d, step) AS folded_root FROM folded GROUP BY row_no)
+SELECT doc_id, leaf, subroot, root, sha256(COALESCE(joined, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN tops ON placed.lang IS NOT DISTINCT FROM tops.lang JOIN ends USING (row_no) LEFT JOIN proofs USING (row_no), root
+"""
+
 ORACLE_SQL: dict[str, str] = {"op1_mixing": _OP1_SQL, "op5_warc": _OP5_SQL, "op6_host_rules": _OP6_SQL,
-                              "op11_decontaminate": _OP11_SQL}
+                              "op11_decontaminate": _OP11_SQL, "op12_merkle": _OP12_SQL}
