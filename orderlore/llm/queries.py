@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlore.llm import decontaminate, hostrules, lines, merkle, mixing, neardup, packing, quality, suffix, toxicity, vectors, warc
+from orderlore.llm import (
+    decontaminate,
+    hostrules,
+    lines,
+    merkle,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    suffix,
+    toxicity,
+    vectors,
+    warc,
+    whitening,
+)
 from orderlore.sources.tables import shared_folder
 
 
@@ -87,6 +101,10 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified(_table(spark, folder, "documents"), merkle.tampered("doc_id"))
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -100,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_decontaminate": op11_decontaminate,
     "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
 
 
