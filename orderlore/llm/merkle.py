@@ -113,9 +113,9 @@ def _own_steps(nodes: bytes, count: int, levels: int) -> list[list[tuple[int, by
     ]
 
 
-def _levels(n: int, count: int) -> int:
-    """Levels that a builder adds: all up to the top of a tree that it holds alone, else BITS."""
-    return height(count) if n <= 1 << BITS else BITS
+def _levels(n: int, count: int, bits: int) -> int:
+    """Levels that a builder adds: all up to the top of a tree that it holds alone, else ``bits``."""
+    return height(count) if n <= 1 << bits else bits
 
 
 # --- many trees at once -----------------------------------------------------------------
@@ -142,13 +142,13 @@ def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     return both.select(*rows.columns, place, "n")
 
 
-def _builder(extra: Sequence[str]):
+def _builder(extra: Sequence[str], bits: int):
     """One builder's row: the log of its entries, and the lists of further columns."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("at")
         entries, n = table.column("digest").to_pylist(), table.column("n")[0].as_py()
-        log = build(entries, _levels(n, len(entries)))
+        log = build(entries, _levels(n, len(entries), bits))
         row = {
             "tree": [key[0].as_py()], "block": [key[1].as_py()], "n": [n], "count": [len(entries)],
             "nodes": [b"".join(log)], "top": [log[-1]],
@@ -164,56 +164,59 @@ def _builder(extra: Sequence[str]):
     return run
 
 
-def grow(entries: DataFrame, extra: Sequence[str] = ()) -> tuple[list[DataFrame], DataFrame]:
+def grow(entries: DataFrame, extra: Sequence[str] = (), bits: int = BITS) -> tuple[list[DataFrame], DataFrame]:
     """Trees over ``entries`` (tree, at, n, digest, the extra columns): the builders' rows, stage by stage, and the top
     of each tree (tree, top).
 
-    A builder takes the entries whose places share all but the lowest BITS bits, and appends nodes to its log as
+    A builder takes the entries whose places share all but the lowest ``bits`` bits, and appends nodes to its log as
     they are completed. The tops of its builders are the entries of a larger tree in the next stage.
     """
     stages = []
     kinds = {f.name: f.dataType.simpleString() for f in entries.schema.fields}
     schema = ", ".join([_BUILT, *(f"`{c}` array<{kinds[c]}>" for c in extra)])
     while True:
-        dealt = entries.withColumn("block", F.shiftright("at", BITS)).groupBy("tree", "block")
+        dealt = entries.withColumn("block", F.shiftright("at", bits)).groupBy("tree", "block")
         own = list(extra) if not stages else []
-        stages.append(stored(dealt.applyInArrow(_builder(own), schema if own else _BUILT), "nodes"))
-        more = stages[-1].where(F.col("n") > 1 << BITS)
+        stages.append(stored(dealt.applyInArrow(_builder(own, bits), schema if own else _BUILT), "nodes"))
+        more = stages[-1].where(F.col("n") > 1 << bits)
         if more.isEmpty():
             break
         entries = more.select(
-            "tree", F.col("block").alias("at"), F.ceil(F.col("n") / (1 << BITS)).alias("n"), F.col("top").alias("digest")
+            "tree", F.col("block").alias("at"), F.ceil(F.col("n") / (1 << bits)).alias("n"), F.col("top").alias("digest")
         )
-    tops = [s.where(F.col("n") <= 1 << BITS).select("tree", "top") for s in stages]
+    tops = [s.where(F.col("n") <= 1 << bits).select("tree", "top") for s in stages]
     return stages, reduce(DataFrame.unionAll, tops)
 
 
-def _entry_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            own = _own_steps(row["nodes"], row["count"], _levels(row["n"], row["count"]))
-            n, first = len(own), row["block"] << BITS
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["tree"]] * n, pa.int64()),
-                    pa.array(range(first, first + n), pa.int64()),
-                    pa.array([_packed(x) + row["above"] for x in own], pa.binary()),
-                ],
-                ["tree", "at", "path"],
-            )
+def _entry_paths(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = _own_steps(row["nodes"], row["count"], _levels(row["n"], row["count"], bits))
+                n, first = len(own), row["block"] << bits
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["tree"]] * n, pa.int64()),
+                        pa.array(range(first, first + n), pa.int64()),
+                        pa.array([_packed(x) + row["above"] for x in own], pa.binary()),
+                    ],
+                    ["tree", "at", "path"],
+                )
+
+    return run
 
 
-def with_paths(stages: list[DataFrame], tails: DataFrame) -> DataFrame:
+def with_paths(stages: list[DataFrame], tails: DataFrame, bits: int) -> DataFrame:
     """The first stage's builders with ``above``, the steps from a builder's top upward; ``tails`` (tree, path) has those
     above the top of each tree."""
     above = None
     for stage in reversed(stages):
-        joined = stage.where(F.col("n") <= 1 << BITS).join(tails, "tree").withColumnRenamed("path", "above")
+        joined = stage.where(F.col("n") <= 1 << bits).join(tails, "tree").withColumnRenamed("path", "above")
         if above is not None:
             higher = above.select("tree", F.col("at").alias("block"), F.col("path").alias("above"))
-            joined = joined.unionByName(stage.where(F.col("n") > 1 << BITS).join(higher, ["tree", "block"]))
+            joined = joined.unionByName(stage.where(F.col("n") > 1 << bits).join(higher, ["tree", "block"]))
         if stage is not stages[0]:
-            above = materialise(joined.mapInArrow(_entry_paths, "tree long, at long, path binary"), "paths")
+            above = materialise(joined.mapInArrow(_entry_paths(bits), "tree long, at long, path binary"), "paths")
     return joined
 
 
@@ -235,47 +238,57 @@ class Manifest:
     stages: list[DataFrame]
     upper: list[DataFrame]
     root: bytes
+    bits: int
 
     def proofs(self) -> DataFrame:
         """Per leaf: key, leaf, claim, subroot (binary), path (steps of one byte for the kind and DIGEST for the sibling),
         folded (the root that claim and path give)."""
         ends = self.trees.sparkSession.createDataFrame([(0, b"")], "tree long, path binary")
-        tops = with_paths(self.upper, ends).mapInArrow(_entry_paths, "tree long, at long, path binary")
+        tops = with_paths(self.upper, ends, self.bits).mapInArrow(_entry_paths(self.bits), "tree long, at long, path binary")
         tails = materialise(tops.select(F.col("at").alias("tree"), "path"), "paths")
-        rows = with_paths(self.stages, tails).join(self.trees.select("tree", F.col("top").alias("subroot")), "tree")
+        rows = with_paths(self.stages, tails, self.bits).join(self.trees.select("tree", F.col("top").alias("subroot")), "tree")
         kind = next(f.dataType.elementType.simpleString() for f in self.stages[0].schema.fields if f.name == "key")
         schema = f"key {kind}, leaf binary, claim binary, subroot binary, path binary, folded binary"
-        return rows.mapInArrow(_proven, schema)
-
-
-def _proven(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, row in enumerate(batch.select(["nodes", "count", "n", "above", "subroot", "claim"]).to_pylist()):
-            n = row["count"]
-            levels, above = _levels(row["n"], n), _unpacked(row["above"])
-            paths = [[*own, *above] for own in _own_steps(row["nodes"], n, levels)]
-            leaves = [row["nodes"][DIGEST * p : DIGEST * (p + 1)] for p in (position(0, k, n) for k in range(n))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key")[i].values,
-                    pa.array(leaves, pa.binary()),
-                    pa.array(row["claim"], pa.binary()),
-                    pa.array([row["subroot"]] * n, pa.binary()),
-                    pa.array([_packed(x) for x in paths], pa.binary()),
-                    pa.array([fold(c, x) for c, x in zip(row["claim"], paths, strict=True)], pa.binary()),
-                ],
-                ["key", "leaf", "claim", "subroot", "path", "folded"],
-            )
+        return rows.mapInArrow(_proven(self.bits), schema)
+
+
+def _proven(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, row in enumerate(batch.select(["nodes", "count", "n", "above", "subroot", "claim"]).to_pylist()):
+                n = row["count"]
+                levels, above = _levels(row["n"], n, bits), _unpacked(row["above"])
+                paths = [[*own, *above] for own in _own_steps(row["nodes"], n, levels)]
+                leaves = [row["nodes"][DIGEST * p : DIGEST * (p + 1)] for p in (position(0, k, n) for k in range(n))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("key")[i].values,
+                        pa.array(leaves, pa.binary()),
+                        pa.array(row["claim"], pa.binary()),
+                        pa.array([row["subroot"]] * n, pa.binary()),
+                        pa.array([_packed(x) for x in paths], pa.binary()),
+                        pa.array([fold(c, x) for c, x in zip(row["claim"], paths, strict=True)], pa.binary()),
+                    ],
+                    ["key", "leaf", "claim", "subroot", "path", "folded"],
+                )
+
+    return run
 
 
 def manifest(
-    docs: DataFrame, group: str = "lang", key: str = "doc_id", fields: Sequence[str] = FIELDS, claim: Sequence[Column] | None = None
+    docs: DataFrame,
+    group: str = "lang",
+    key: str = "doc_id",
+    fields: Sequence[str] = FIELDS,
+    claim: Sequence[Column] | None = None,
+    bits: int = BITS,
 ) -> Manifest | None:
     """The tree of trees over the rows of ``docs``: leaves of each group in the order of ``key``, groups in theirs.
 
-    ``claim`` holds the values of ``fields`` that a proof is asked for, by default the rows' own; they change no tree.
-    Rows with equal keys stand in the order of their leaves; a null key comes first, and nulls are the first group. Repeated rows are leaves of their own. An
-    empty table has no manifest (None). Other columns are ignored.
+    ``claim`` holds the values of ``fields`` that a proof is asked for, by default the rows' own; they change no tree. A
+    builder takes 2 ** ``bits`` entries. Rows with equal keys stand in the order of their leaves; a null key comes first,
+    and nulls are the first group. Repeated rows are leaves of their own. An empty table has no manifest (None). Other
+    columns are ignored.
     """
     rows, file, at = located(docs)
     own = [F.col(c) for c in fields]
@@ -292,20 +305,20 @@ def manifest(
     groups = materialise(groups.select("part", "size", F.col("at").alias("tree"), F.col("n").alias("groups")), "groups")
     named = groups.select(F.col("part").alias("own"), "tree")
     entries = leaves.join(named, F.col("part").eqNullSafe(F.col("own"))).select("tree", "at", "n", "digest", "key", "claim")
-    stages, tops = grow(entries, ["key", "claim"])
+    stages, tops = grow(entries, ["key", "claim"], bits)
     trees = materialise(groups.join(tops, "tree"), "trees")
     above = trees.select(
         F.lit(0).cast("long").alias("all"), F.col("tree").alias("at"), F.col("groups").alias("n"), F.col("top").alias("digest")
     ).withColumnRenamed("all", "tree")
-    upper, top = grow(above)
-    return Manifest(trees.select(F.col("part").alias("group"), "tree", "size", "top"), stages, upper, top.first().top)
+    upper, top = grow(above, bits=bits)
+    return Manifest(trees.select(F.col("part").alias("group"), "tree", "size", "top"), stages, upper, top.first().top, bits)
 
 
-def verified(docs: DataFrame, claim: Sequence[Column] | None = None) -> DataFrame:
+def verified(docs: DataFrame, claim: Sequence[Column] | None = None, bits: int = BITS) -> DataFrame:
     """Per row of ``docs`` (the FIELDS, any others): doc_id, leaf, subroot, root, proof_sha256 (of the siblings as
     hexadecimal text, from the leaf up), folded_root (what ``claim`` and the siblings give) and verified, whether that is
     the root. All are lower-case hexadecimal text. See ``manifest`` for nulls, ties, repeated rows and empty tables."""
-    made = manifest(docs, claim=claim)
+    made = manifest(docs, claim=claim, bits=bits)
     text = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
     if made is None:
         return docs.sparkSession.createDataFrame([], text)
