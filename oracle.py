@@ -674,12 +674,24 @@ def model_queries() -> dict[str, str]:
     def settings(fixed: list[str], folds: str) -> str:
         return " UNION ALL ".join(f"SELECT '{x}' AS setting{folds}, true AS auc_in_range" for x in fixed)
 
-    def rounds(n: int) -> str:
-        return f"SELECT CAST(r AS INTEGER) AS round, true AS follows_rule FROM range(1, {n + 1}) AS t(r)"
-
-    small = [f'{{"maxDepth": 3, "maxIter": {n}, "stepSize": 0.2}}' for n in (2, 4)]
+    stopping = [
+        "one round is chosen",
+        "it is better than all before",
+        "none of the next ones is better",
+        "growing ends after the patience",
+        "and not before",
+        "the model is that of the round",
+        "the model has its trees",
+    ]
+    rules = " UNION ALL ".join(f"SELECT '{x}' AS rule, true AS holds" for x in stopping)
+    grid = [
+        f'{{"maxDepth": {d}, "maxIter": {n}, "stepSize": {rate}}}'
+        for n in (10, 20, 30, 50, 100)
+        for d in (3, 5, 6, 7)
+        for rate in (0.001, 0.002, 0.1, 0.2, 0.5, 1.0)
+    ]
     segments = [f'{{"maxDepth": {d}, "maxIter": {n}, "stepSize": 0.2}}' for n in (10, 20) for d in (5, 6)]
-    sampled = [f'{{"maxDepth": 4, "minInstancesPerNode": {n}}}' for n in (1, 3)]
+    sampled = [f'{{"maxDepth": 6, "minChildWeight": {n}}}' for n in (1, 3)]
     five = ", CAST(5 AS INTEGER) AS folds"
     features = ", ".join(f"'{c}'" for c in FEATURES)
     return {
@@ -688,11 +700,11 @@ def model_queries() -> dict[str, str]:
             "m_segments", "SELECT order_id, segments, cancel, true AS is_probability FROM m_segments"
         ),
         "train_mlp": sql("m_val", scored),
-        "cross_validate": settings(small, five),
+        "cross_validate": settings(grid, five),
         "cross_validate_segments": settings(segments, five),
-        "grid_search": settings(sampled, ""),
-        "early_stopping": rounds(300),
-        "early_stopping_segments": rounds(10),
+        "grid_search": settings(sampled, "").replace("true AS auc_in_range", "true AS auc_in_range, true AS fits_its_rows"),
+        "early_stopping": rules,
+        "early_stopping_segments": rules,
         "feature_importance": f"SELECT unnest([{features}]) AS feature, CAST(1 AS DOUBLE) AS total",
         "split_importance": "SELECT CAST(0 AS BIGINT) AS unknown_features, true AS has_splits",
         "model_roundtrip": sql("m_val", "SELECT order_id, true AS same FROM m_val"),

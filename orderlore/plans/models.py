@@ -4,25 +4,21 @@ from __future__ import annotations
 
 import json
 import re
-import time
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
-from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.operators.metrics import roc_auc
 from orderlore.operators.prep import column_means, column_scales, fill_constant, fill_mean, standardize
 from orderlore.operators.segments import segment_vector
+from orderlore.plans import boosting
 from orderlore.sources.schemas import FEATURES, MEAN_FILLED, SCORE_FILL, TRAIN_FILL
 from orderlore.sources.tables import materialise
 
@@ -36,7 +32,7 @@ GRID = {
 }
 SEGMENT_GRID = {"maxIter": [10, 20], "maxDepth": [5, 6], "stepSize": [0.2]}
 SAMPLED = {"maxIter": 1000, "stepSize": 0.2, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 0}
-SAMPLED_GRID = {"maxDepth": [6], "minInstancesPerNode": [1, 3]}
+SAMPLED_GRID = {"maxDepth": [6], "minChildWeight": [1, 3]}
 SAMPLED_FOLDS = 3
 EARLY = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.2}
 EARLY_SEGMENTS = {"maxIter": 300, "maxDepth": 30, "stepSize": 0.2}
@@ -166,106 +162,119 @@ def settings_of(grid: Mapping[str, Sequence]) -> list[dict]:
     return combinations
 
 
+def _rows_of(folded: DataFrame, preparation: Preparation) -> DataFrame:
+    """What a search grows on: key, label, fold, x. Rows with equal order ids are sampled together."""
+    prepared = boosting.features(
+        _labelled(folded, preparation), preparation.columns, _SEGMENT_VECTOR if preparation.vocabulary else None
+    )
+    return prepared.select(F.xxhash64("order_id").alias("key"), "label", F.col("fold").cast("int").alias("fold"), "x")
+
+
+def _binned(rows: DataFrame, preparation: Preparation) -> boosting.Binning:
+    values = [F.col("x")[i].alias(c) for i, c in enumerate(preparation.columns)]
+    return boosting.binning(rows.select(*values), preparation.columns, len(preparation.vocabulary or []))
+
+
+def _mean_aucs(margins: DataFrame) -> dict[tuple[int, int], float | None]:
+    """AUC of each fit and round."""
+    return {(r["fit"], r["round"]): r.auc for r in roc_auc(margins, "label", "margin", "fit", "round").collect()}
+
+
 def cross_validate(
-    folded: DataFrame, settings: Iterable[dict], preparation: Preparation | None = None, parallelism: int = 4
+    folded: DataFrame, settings: Iterable[dict], preparation: Preparation | None = None, block: int = boosting.BLOCK
 ) -> DataFrame:
-    """Mean AUC over folds and fitting time of each setting.
+    """Mean AUC over folds of each setting.
 
-    ``folded`` has a ``fold`` column. Fits are Spark jobs; ``parallelism`` of
-    them are submitted at a time so that small fits share the cluster.
+    ``folded`` has a ``fold`` column. Settings that differ in the number of rounds alone are one fit per fold: the
+    first rounds of the longest one. All fits grow together, level by level (see ``boosting``).
     """
     preparation = preparation or Preparation()
-    spark, settings = folded.sparkSession, list(settings)
-    prepared = _labelled(folded, preparation)
-    folds = sorted(r.fold for r in folded.select("fold").distinct().collect())
-
-    def one(task: tuple[int, int]) -> tuple[int, float, float | None]:
-        number, fold = task
-        began = time.time()
-        fitted = _boosting(preparation, settings[number]).fit(prepared.where(F.col("fold") != fold))
-        seconds = time.time() - began
-        scored = fitted.transform(prepared.where(F.col("fold") == fold))
-        scored = scored.withColumn("will_cancel", vector_to_array("probability")[1])
-        return number, seconds, roc_auc(scored, "cancel", "will_cancel").first().auc
-
-    with ThreadPool(parallelism) as pool:
-        done = pool.map(one, [(n, f) for n in range(len(settings)) for f in folds])
-    rows = []
-    for number, setting in enumerate(settings):
-        own = [(seconds, auc) for n, seconds, auc in done if n == number]
-        aucs = [auc for _, auc in own if auc is not None]
-        mean = sum(aucs) / len(aucs) if aucs else None
-        rows.append((json.dumps(setting, sort_keys=True), len(own), mean, sum(s for s, _ in own)))
-    return spark.createDataFrame(rows, "setting string, folds int, auc double, seconds double")
+    settings = list(settings)
+    rows = materialise(_rows_of(folded, preparation), "search")
+    folds = sorted(r.fold for r in rows.select("fold").distinct().collect())
+    bodies = [json.dumps({k: v for k, v in s.items() if k != "maxIter"}, sort_keys=True) for s in settings]
+    longest = {b: max(s["maxIter"] for s, own in zip(settings, bodies) if own == b) for b in bodies}
+    fits = [
+        (b, boosting.Fit(boosting.Setting.of({**json.loads(b), "maxIter": n}), fold)) for b, n in longest.items() for fold in folds
+    ]
+    growth = boosting.Growth(rows, _binned(rows, preparation), [f for _, f in fits], block=block)
+    aucs = _mean_aucs(growth.run(max(longest.values()), {s["maxIter"] for s in settings}))
+    growth.close()
+    out = []
+    for setting, body in zip(settings, bodies):
+        own = [aucs.get((k, setting["maxIter"])) for k, (b, _) in enumerate(fits) if b == body]
+        known = [x for x in own if x is not None]
+        out.append((json.dumps(setting, sort_keys=True), len(own), sum(known) / len(known) if known else None))
+    return folded.sparkSession.createDataFrame(out, "setting string, folds int, auc double")
 
 
-def grid_search(
-    folded: DataFrame,
-    base: Mapping = SAMPLED,
-    grid: Mapping[str, Sequence] = SAMPLED_GRID,
-    preparation: Preparation | None = None,
-    parallelism: int = 4,
-) -> tuple[CancellationModel, DataFrame]:
-    """Cross-validated search that refits the best setting on everything.
+@dataclass
+class BoostedModel:
+    """Trees of a search with their preparation."""
 
-    The fold column comes with the data. Rows and columns are subsampled per
-    tree; the minimum of rows per leaf stands for a minimum child weight.
-    """
-    preparation = preparation or Preparation()
-    booster = GBTClassifier(**base)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(booster.getParam(name), values)
-    maps = builder.build()
-    search = CrossValidator(
-        estimator=Pipeline(stages=[preparation.assembler(), booster]),
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-        numFolds=folded.agg(F.max("fold")).first()[0] + 1,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    fitted = search.fit(_labelled(folded, preparation))
-    rows = [
-        (json.dumps({p.name: v for p, v in chosen.items()}, sort_keys=True), float(auc))
-        for chosen, auc in zip(maps, fitted.avgMetrics)
-    ]
-    table = folded.sparkSession.createDataFrame(rows, "setting string, auc double")
-    return CancellationModel(fitted.bestModel, preparation), table
+    trees: boosting.Trees
+    preparation: Preparation
 
+    def score(self, df: DataFrame, training: bool = False) -> DataFrame:
+        """Adds ``will_cancel``, the probability of the order being canceled."""
+        prepared = self.preparation.apply(df, training)
+        vector = _SEGMENT_VECTOR if self.preparation.vocabulary else None
+        rows = boosting.features(prepared, self.preparation.columns, vector)
+        return self.trees.score(rows.drop(_SEGMENT_VECTOR), "will_cancel")
+
+    def split_counts(self) -> DataFrame:
+        """How many splits use each feature, most first."""
+        spark, names = SparkSession.active(), self.preparation.feature_names()
+        named = spark.createDataFrame(list(enumerate(names)), "column int, feature string")
+        counts = self.trees.nodes(spark).where("column >= 0").groupBy("column").agg(F.count("*").alias("splits"))
+        return counts.join(named, "column").select("feature", "splits").orderBy(F.desc("splits"), "feature")
 
-_PREDICT = re.compile(r"Predict: (\S+)")
-_SPLIT = re.compile(r"If \(feature (\d+) ")
+    def save(self, path: str) -> None:
+        """A folder with the table of nodes and the preparation as JSON text."""
+        spark = SparkSession.active()
+        self.trees.nodes(spark).write.mode("overwrite").parquet(f"{path}/nodes")
+        text = json.dumps({"preparation": asdict(self.preparation)})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/preparation")
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "BoostedModel":
+        stored = json.loads(spark.read.text(f"{path}/preparation", wholetext=True).first().value)
+        return cls(boosting.Trees.read(spark.read.parquet(f"{path}/nodes")), Preparation(**stored["preparation"]))
 
-def leaf_values(booster: GBTClassificationModel) -> DataFrame:
-    """``(round, leaf, output)``: what each leaf of each tree adds to the margin, leaves numbered from the left."""
-    rows = [
-        (number, leaf, float(value) * weight)
-        for number, (tree, weight) in enumerate(zip(booster.trees, booster.treeWeights), 1)
-        for leaf, value in enumerate(_PREDICT.findall(tree.toDebugString))
-    ]
-    return SparkSession.active().createDataFrame(rows, "round int, leaf int, output double")
 
+def train_boosted(
+    train: DataFrame, preparation: Preparation | None = None, block: int = boosting.BLOCK, **parameters
+) -> BoostedModel:
+    """Second-order boosted trees on all rows, with a least Hessian sum per child."""
+    preparation = preparation or Preparation()
+    rows = materialise(_rows_of(train.withColumn("fold", F.lit(0)), preparation), "search")
+    bins, setting = _binned(rows, preparation), boosting.Setting.of(parameters)
+    growth = boosting.Growth(rows, bins, [boosting.Fit(setting)], keep=True, block=block)
+    growth.run(setting.rounds)
+    growth.close()
+    return BoostedModel(boosting.Trees.of(growth.trees[0], bins), preparation)
 
-def validation_curve(model: CancellationModel, validation: DataFrame) -> DataFrame:
-    """Exact AUC on validation data after each boosting round.
 
-    One transform finds the leaf of every tree; the leaves' outputs are joined from a table and summed up along the
-    rounds of each row, so the plan is as large for many rounds as for few.
+def grid_search(
+    folded: DataFrame,
+    base: Mapping = SAMPLED,
+    grid: Mapping[str, Sequence] = SAMPLED_GRID,
+    preparation: Preparation | None = None,
+    block: int = boosting.BLOCK,
+) -> tuple[BoostedModel, DataFrame]:
+    """Cross-validated search that refits the best setting on everything.
+
+    The fold column comes with the data. Rows and columns are subsampled per tree; a child has at least the
+    setting's sum of Hessians. Of settings with equal AUC the first one is the best.
     """
-    booster = model.booster.copy().setLeafCol("leaves")
-    prepared = model.preparation.apply(validation, training=True)
-    found = booster.transform(model.pipeline.stages[0].transform(prepared))
-    found = found.select("cancel", vector_to_array("leaves").alias("leaves"))
-    found = found.withColumn("row", F.monotonically_increasing_id())
-    long = found.select("cancel", "row", F.posexplode("leaves").alias("position", "leaf"))
-    long = long.select("cancel", "row", (F.col("position") + 1).alias("round"), F.col("leaf").cast("int").alias("leaf"))
-    margin = F.sum("output").over(W.partitionBy("row").orderBy("round"))
-    summed = long.join(leaf_values(model.booster), ["round", "leaf"]).select(
-        "cancel", "round", (1 / (1 + F.exp(-2 * margin))).alias("probability")
-    )
-    return roc_auc(summed, "cancel", "probability", "round")
+    combinations = settings_of(grid)
+    table = cross_validate(folded, [{**base, **s} for s in combinations], preparation, block)
+    aucs = {r.setting: r.auc for r in table.collect()}
+    found = [aucs[json.dumps({**base, **s}, sort_keys=True)] for s in combinations]
+    best = max(range(len(found)), key=lambda i: (found[i] is not None, found[i] or 0.0, -i))
+    model = train_boosted(folded.drop("fold"), preparation, block, **{**base, **combinations[best]})
+    rows = [(json.dumps(s, sort_keys=True), auc) for s, auc in zip(combinations, found)]
+    return model, folded.sparkSession.createDataFrame(rows, "setting string, auc double")
 
 
 def stop_early(curve: Sequence[tuple[int, float]], patience: int) -> int:
@@ -284,26 +293,38 @@ def early_stopping(
     validation: DataFrame,
     preparation: Preparation | None = None,
     patience: int = PATIENCE,
+    block: int = boosting.BLOCK,
     **parameters,
-) -> tuple[CancellationModel, DataFrame]:
-    """Boosted trees cut at the round chosen by validation AUC, and the curve.
+) -> tuple[BoostedModel, DataFrame]:
+    """Boosted trees cut at the round chosen by validation AUC, and the curve (round, auc, chosen) of the rounds grown.
 
-    The model is fitted again for the chosen number of rounds: they are the first ones of the longer run, and the
-    result is stored and scored like any other.
+    ``patience`` rounds grow at a time, with the exact AUC after each; growing ends as soon as so many rounds have
+    brought no better value, so at most twice as many rounds grow behind the chosen one as the rule needs. Without both
+    classes in the validation data nothing can be chosen, and all rounds stay.
     """
-    settings = {**EARLY, **parameters}
-    model = train_gbt(train, preparation, **settings)
-    curve = validation_curve(model, validation)
-    values = [(r["round"], r.auc) for r in curve.collect()]
-    best = stop_early(values, patience)
-    marked = train.sparkSession.createDataFrame(
-        [(n, auc, n == best) for n, auc in sorted(values)], "round int, auc double, chosen boolean"
-    )
-    if best:
-        model = train_gbt(train, preparation, **{**settings, "maxIter": best})
-    return model, marked
+    preparation = preparation or Preparation()
+    setting = boosting.Setting.of({**EARLY, **parameters})
+    both = [_rows_of(df.withColumn("fold", F.lit(fold)), preparation) for fold, df in ((1, train), (0, validation))]
+    rows = materialise(both[0].unionByName(both[1]), "search")
+    bins = _binned(rows.where("fold = 1"), preparation)
+    growth = boosting.Growth(rows, bins, [boosting.Fit(setting, 0)], keep=True, block=block)
+    values: list[tuple[int, float | None]] = []
+    while growth.done < setting.rounds:
+        ahead = range(growth.done + 1, min(growth.done + patience, setting.rounds) + 1)
+        aucs = _mean_aucs(growth.run(len(ahead), ahead))
+        values += [(n, aucs.get((0, n))) for n in ahead]
+        best = stop_early(values, patience)
+        if best and growth.done - best >= patience:
+            break
+    growth.close()
+    best = stop_early(values, patience) if any(v is not None for _, v in values) else 0
+    trees = growth.trees[0][: best or len(growth.trees[0])]
+    marked = train.sparkSession.createDataFrame([(n, v, n == best) for n, v in values], "round int, auc double, chosen boolean")
+    return BoostedModel(boosting.Trees.of(trees, bins), preparation), marked
 
 
+_SPLIT = re.compile(r"If \(feature (\d+) ")
+
 # --- inspection -----------------------------------------------------------------------------
 
 

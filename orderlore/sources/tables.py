@@ -119,12 +119,23 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialise_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``materialise``, and the path, for results that are discarded when later ones replace them."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate once as Parquet and go on from the files.
 
     For results that several jobs read: unlike a cache it survives lost
     executors, and unlike a plan it is computed once.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialise_at(df, purpose)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``materialise_at`` has written, wherever its file system is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

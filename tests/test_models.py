@@ -1,11 +1,16 @@
 """Models on a planted signal: scores, storage, tuning, early stopping."""
 
+import json
+import math
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orderlore.operators.metrics import kfold_split, roc_auc
+from orderlore.plans import boosting, registry
 from orderlore.plans import models as mo
-from orderlore.plans import registry
 from orderlore.sources.files import write_csv
 from orderlore.sources.schemas import FEATURES, MATRIX_SCHEMA, MEAN_FILLED
 from orderlore.sources.tables import materialise, shared_folder
@@ -69,25 +74,111 @@ def test_network(matrix):
 
 def test_tuning(matrix):
     folded = kfold_split(matrix, 3)
-    table = mo.cross_validate(folded, mo.settings_of({"maxIter": [1, 4], "maxDepth": [3]})).collect()
+    table = mo.cross_validate(folded, mo.settings_of({"maxIter": [1, 4], "maxDepth": [3], "stepSize": [0.2]})).collect()
     assert len(table) == 2 and all(r.folds == 3 and r.auc > 0.7 for r in table)
-    best, table = mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 2}, {"maxDepth": [1, 4]})
+    best, table = mo.grid_search(folded, {**mo.SAMPLED, "maxIter": 4}, {"maxDepth": [1, 4], "minChildWeight": [1, 3]})
     aucs = [r.auc for r in table.collect()]
-    assert len(aucs) == 2 and _auc(best.score(matrix)) > 0.7
+    assert len(aucs) == 4 and _auc(best.score(matrix)) > 0.7
     assert len(mo.settings_of(mo.GRID)) == 120 and len(mo.settings_of(mo.SEGMENT_GRID)) == 4
 
 
-def test_early_stopping(matrix):
+def test_shorter_runs_are_the_first_rounds_of_longer_ones(matrix):
+    folded = kfold_split(matrix, 3)
+    together = mo.cross_validate(folded, mo.settings_of({"maxIter": [2, 3, 6], "maxDepth": [2, 4], "stepSize": [0.1, 0.5]}))
+    for r in together.where("setting LIKE '%0.5%'").collect():
+        alone = mo.cross_validate(folded, [json.loads(r.setting)]).first()
+        assert alone.auc == pytest.approx(r.auc, abs=1e-12)
+
+
+def test_early_stopping(spark, matrix):
     folded = kfold_split(matrix, 5)
     train, held = folded.where("fold > 0"), folded.where("fold = 0")
-    model, curve = mo.early_stopping(train, held, patience=2, maxIter=6, maxDepth=3)
+    setting = {"maxIter": 30, "maxDepth": 3}
+    model, curve = mo.early_stopping(train, held, patience=2, **setting)
     rows = curve.collect()
-    assert [r["round"] for r in rows] == list(range(1, 7))
-    chosen = [r for r in rows if r.chosen]
-    assert len(chosen) == 1 and model.booster.getNumTrees == chosen[0]["round"]
-    assert _auc(model.score(held, training=True)) == pytest.approx(chosen[0].auc, abs=1e-9)
-    last = mo.train_gbt(train, **{**mo.EARLY, "maxIter": 6, "maxDepth": 3})
-    assert _auc(last.score(held, training=True)) == pytest.approx(rows[-1].auc, abs=1e-9)
+    _, full = mo.early_stopping(train, held, patience=30, **setting)
+    all_rounds = [(r["round"], r.auc) for r in full.collect()]
+    assert len(all_rounds) == 30 and [(r["round"], r.auc) for r in rows] == all_rounds[: len(rows)]
+    (chosen,) = [r for r in rows if r.chosen]
+    assert chosen["round"] == mo.stop_early(all_rounds, 2) == len(model.trees.rounds)
+    assert chosen["round"] + 2 <= len(rows) <= min(chosen["round"] + 4, 30) and len(rows) < 30
+    assert _auc(model.score(held, training=True)) == pytest.approx(chosen.auc, abs=1e-9)
+    last = mo.train_boosted(train, **{**mo.EARLY, "maxIter": 3, "maxDepth": 3})
+    assert _auc(last.score(held, training=True)) == pytest.approx(rows[2].auc, abs=1e-9)
+    path = shared_folder(spark, "test")
+    model.save(path)
+    again = mo.BoostedModel.load(spark, path)
+    key = lambda m: sorted((r.order_id, r.will_cancel) for r in m.score(held).select("order_id", "will_cancel").collect())
+    assert again.preparation == model.preparation and key(again) == key(model)
+    splits = {r.feature: r.splits for r in again.split_counts().collect()}
+    assert splits["canceled_all_nt"] > 0 and set(splits) <= set(FEATURES)
+    one_class = held.withColumn("cancel", F.lit(1))
+    assert len(mo.early_stopping(train, one_class, patience=2, maxIter=5, maxDepth=2)[0].trees.rounds) == 5
+
+
+def _plain_boosting(x, y, setting):
+    """Margins after each round of exact second-order boosting on few distinct values, in plain Python."""
+    margins, out = [0.0] * len(y), []
+    for _ in range(setting.rounds):
+        p = [1 / (1 + math.exp(-m)) for m in margins]
+        g, h = [a - b for a, b in zip(p, y)], [a * (1 - a) for a in p]
+
+        def grow(rows, depth, g=g, h=h):
+            total_g, total_h = sum(g[i] for i in rows), sum(h[i] for i in rows)
+            score = lambda a, b: a * a / (b + setting.penalty)
+            best = (boosting.LEAST_GAIN, None)
+            if depth < setting.depth:
+                for j in range(len(x[0])):
+                    for cut in sorted({x[i][j] for i in rows})[:-1]:
+                        left = [i for i in rows if x[i][j] <= cut]
+                        gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+                        if min(hl, total_h - hl) < setting.child:
+                            continue
+                        gain = score(gl, hl) + score(total_g - gl, total_h - hl) - score(total_g, total_h)
+                        if gain > best[0] + abs(best[0]) * 1e-9:
+                            best = (gain, (j, cut))
+            if best[1] is None:
+                for i in rows:
+                    margins[i] -= setting.rate * total_g / (total_h + setting.penalty)
+                return
+            j, cut = best[1]
+            grow([i for i in rows if x[i][j] <= cut], depth + 1)
+            grow([i for i in rows if x[i][j] > cut], depth + 1)
+
+        grow(list(range(len(y))), 0)
+        out.append(list(margins))
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 14, 120])
+def test_trees_equal_plain_ones(spark, block):
+    """In one block and in several, level by level; child weights that forbid splits; tokens among the columns."""
+    rng = random.Random(1)
+    x = [[rng.randint(0, 6), rng.randint(0, 3), rng.randint(0, 20), rng.choice([0, 0, 0, 1, 2])] for _ in range(500)]
+    y = [int(a[0] - a[1] + a[3] + rng.random() * 4 > 4) for a in x]
+    rows = [(i, float(b), i % 2, [float(v) for v in a]) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "key long, label double, fold int, x array<double>").repartition(3)
+    bins = boosting.binning(df.select(*[F.col("x")[i].alias(f"c{i}") for i in range(3)]), ["c0", "c1", "c2"], 1)
+    settings = [boosting.Setting(4, 3, 0.3, child, penalty) for child, penalty in ((1.0, 1.0), (8.0, 1.0), (0.0, 0.5))]
+    growth = boosting.Growth(df, bins, [boosting.Fit(s) for s in settings], keep=True, block=block)
+    assert (growth.blocks == 1) == (block > 500)
+    growth.run(2)
+    growth.run(2)
+    growth.close()
+    for k, setting in enumerate(settings):
+        want = _plain_boosting(x, y, setting)[-1]
+        got = boosting.Trees.of(growth.trees[k], bins).margins(np.array(x, float))
+        assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_subsamples_do_not_depend_on_blocks(spark, matrix):
+    folded = kfold_split(matrix, 3)
+    settings = [{**mo.SAMPLED, "maxIter": 3, "maxDepth": 3, "minChildWeight": 1}]
+    one, many = (mo.cross_validate(folded, settings, block=b).first().auc for b in (1 << 14, 150))
+    assert one == pytest.approx(many, abs=1e-9)
+    setting = boosting.Setting.of(settings[0])
+    assert sum(boosting.allowed_columns(setting, 1, 32)) == 26
+    assert list(boosting.allowed_columns(setting, 1, 32)) != list(boosting.allowed_columns(setting, 2, 32))
 
 
 def test_patience():
@@ -118,12 +209,13 @@ def test_registered_at_published_size(matrix, monkeypatch):
     spark = matrix.sparkSession
     table = spark.createDataFrame([("{}", 1, 0.5, 1.0)], "setting string, folds int, auc double, seconds double")
     curve = spark.createDataFrame([(1, 0.5, True)], "round int, auc double, chosen boolean")
+    model = mo.BoostedModel(boosting.Trees([]), mo.Preparation())
     rows = matrix.withColumn("segments", F.lit("x"))
     monkeypatch.setattr(registry, "_train", lambda *_: matrix)
     monkeypatch.setattr(registry, "_segment_rows", lambda *_: rows)
     monkeypatch.setattr(mo, "cross_validate", noted("cross_validate", table))
-    monkeypatch.setattr(mo, "grid_search", noted("grid_search", None, table))
-    monkeypatch.setattr(mo, "early_stopping", noted("early_stopping_segments", None, curve))
+    monkeypatch.setattr(mo, "grid_search", noted("grid_search", model, table))
+    monkeypatch.setattr(mo, "early_stopping", noted("early_stopping_segments", model, curve))
     for name in ("cross_validate", "grid_search", "early_stopping_segments"):
         registry.MODEL_QUERIES[name](spark, "")
     assert asked["cross_validate"][0][1] == mo.settings_of(mo.GRID)
