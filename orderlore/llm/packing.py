@@ -17,8 +17,8 @@ from orderlore.llm.common import _SPACE, distinct, in_chunks, text_bytes, words_
 LENGTH = 4096  # most tokens of a sequence
 END = 2  # the id that ends a document
 BLOCK = 1 << 20  # tokens that are packed together
-CHUNK = 3 << 19  # bytes of text that a task tokenizes at once
-KNOWN = 150_000  # words whose ids a task keeps
+CHUNK = 1 << 22  # bytes of text that a task tokenizes at once
+KNOWN = 300_000  # words whose ids a worker process keeps
 STEP = 256  # inside a sentence of over LENGTH / 4 tokens, places to cut are so far apart
 
 #: What a cut costs, in tokens of padding: at the end of a document, of a sentence, inside a sentence.
@@ -125,6 +125,17 @@ class Words:
         return self.ids[where], total[at], total[1:][closed]
 
 
+_words: dict[str, Words] = {}
+
+
+def words_of_worker(path: str) -> Words:
+    """One bounded store of ids for each worker process, kept over the tasks that it runs."""
+    if path not in _words:
+        _words.clear()
+        _words[path] = Words(path)
+    return _words[path]
+
+
 def cuts(n: int, documents: np.ndarray, sentences: np.ndarray, length: int) -> np.ndarray:
     """Where to cut n tokens into windows of at most ``length``: the window ends, the last one n.
 
@@ -215,7 +226,7 @@ _PIECES = pa.schema(
 
 def _packer(path: str, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number = Words(path), TaskContext.get().partitionId() << 40
+        words, number = words_of_worker(path), TaskContext.get().partitionId() << 40
         block = _Block(length)
 
         def done() -> pa.RecordBatch:
