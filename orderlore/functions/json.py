@@ -19,19 +19,29 @@ def may_contain(document: Column, word: str) -> Column:
     return document.contains(word) | document.contains("\\")
 
 
+def _elements(document: Column) -> Column:
+    """The elements of a JSON list as variants.
+
+    A document is parsed once. One that the variant parser refuses, e.g. for a key that repeats, is parsed again
+    element by element, so that the last of repeated keys counts and a broken element spoils none of its neighbours.
+    """
+    parsed = F.try_variant_get(F.try_parse_json(document), "$", "array<variant>")
+    singly = F.transform(F.from_json(document, _ELEMENTS), lambda e: F.to_variant_object(F.from_json(e, _CHANGE)))
+    return F.coalesce(parsed, singly)
+
+
 def unpack_changes(log: DataFrame, document: str, *keep: str) -> DataFrame:
     """One row per element of a ``[{name, object}, ...]`` document.
 
-    Empty and null documents give no rows. Elements are parsed one by one, so an
-    element that is no object, or lacks a field, is a row with nulls there and
-    spoils none of its neighbours. Values that are not strings become JSON text, with
-    numbers in their shortest form. A string element that itself spells
-    an object is taken for one.
+    Empty, null and broken documents, and those that are no list, give no rows. An element that is no object, or lacks a
+    field, is a row with nulls there; a string that spells an object is still a string. Values that are not strings
+    become JSON text, with numbers in their shortest form.
     """
-    elements = log.select(*keep, F.explode(F.from_json(document, _ELEMENTS)).alias("element"))
-    return elements.select(*keep, F.from_json("element", _CHANGE).alias("change")).select(
-        *keep, F.col("change.name").alias("field_name"), F.col("change.object").alias("field_value")
-    )
+    # the outer form, as for the other one a filter on the list is inferred that parses once more
+    elements = log.select(*keep, F.posexplode_outer(_elements(F.col(document))).alias("place", "element"))
+    elements = elements.where(F.col("place").isNotNull())
+    field = lambda name: F.try_variant_get("element", f"$.{name}", "string")
+    return elements.select(*keep, field("name").alias("field_name"), field("object").alias("field_value"))
 
 
 def changed_value(document: Column, key: str) -> Column:

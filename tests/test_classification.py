@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from factory import table, tables
 from pyspark.sql import functions as F
 
@@ -180,6 +181,28 @@ def test_elements_of_change_documents_are_read_one_by_one(spark):
     )
 
 
+@pytest.mark.parametrize(
+    "document, rows",
+    [
+        (r'["{\"name\":\"a\",\"object\":\"b\"}"]', [(None, None)]),  # a string that spells an object
+        ('[true, 1.5, "x", null, []]', [(None, None)] * 5),
+        ('[{"name":"a","object":{"x":[1, {"y":null}]}}, {"object":"only"}]', [("a", '{"x":[1,{"y":null}]}'), (None, "only")]),
+        ('[{"name":"a","object":true},{"name":"b","object":-0.50},{"name":7}]', [("a", "true"), ("b", "-0.5"), ("7", None)]),
+        ('[{"name":"a","name":"z","object":"q"},{"name":"b"}]', [("z", "q"), ("b", None)]),  # the last of repeated keys
+        ('{"name":"lone","object":"o"}', []),
+        ('[{"name":"a","object":"b"}', []),
+        ("", []),
+        ("no list", []),
+        (None, []),
+        ('[{"name":"w","object":"\\u0063anceled"}]', [("w", "canceled")]),
+        ('[{"name":"n","object":12345678901234567890123}]', [("n", "12345678901234567890123")]),
+    ],
+)
+def test_kinds_of_change_elements(spark, document, rows):
+    df = spark.createDataFrame([(document,)], "doc string")
+    assert [tuple(r) for r in unpack_changes(df, "doc").collect()] == rows
+
+
 def test_escaped_words_are_still_found(spark):
     escaped = '[{"name":"workflow\\u005fstate","object":"canceled"}]'
     deltas = table(spark, "deltas", {"user_id": 1, "model_id": 1, "model_type": "Order", "object": escaped})
