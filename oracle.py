@@ -662,7 +662,7 @@ def prep_queries() -> dict[str, str]:
             """
             SELECT id AS order_id, CAST(creation_mean = 'manual' AS INTEGER) AS creation_mean,
                    CAST(payment_type = 'cash' AS INTEGER) AS payment_type
-            FROM b_orders WHERE CAST(start_at AS DATE) BETWEEN DATE '2017-06-20' AND DATE '2017-07-04'""",
+            FROM b_orders WHERE start_at >= DATE '2017-06-20' AND start_at < DATE '2017-07-04'""",
         ),
     }
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from orderlore.operators.metrics import roc_auc
 from orderlore.operators.prep import column_means, column_scales, fill_constant, fill_mean, standardize
 from orderlore.operators.segments import segment_vector
-from orderlore.plans import boosting
+from orderlore.plans import boosting, network
 from orderlore.sources.schemas import FEATURES, MEAN_FILLED, SCORE_FILL, TRAIN_FILL
 from orderlore.sources.tables import materialise
 
@@ -38,6 +38,7 @@ EARLY = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.2}
 EARLY_SEGMENTS = {"maxIter": 300, "maxDepth": 30, "stepSize": 0.2}
 PATIENCE = 10
 NETWORK = {"hidden": [64, 64], "maxIter": 30, "blockSize": 128}
+UNITS, PENALTY, EPOCHS, BATCH = (64, 64), 0.01, 30, 128
 FOLDS, FOLD_SEED = 5, 42
 
 _SEGMENT_VECTOR = "segment_vector"
@@ -151,6 +152,43 @@ def train_mlp(train: DataFrame, preparation: Preparation | None = None, **parame
     return CancellationModel(pipeline.fit(_labelled(train, preparation)), preparation)
 
 
+@dataclass
+class NetworkModel:
+    """Weights of a network with rectified units, and the preparation."""
+
+    weights: network.Weights
+    preparation: Preparation
+
+    def score(self, df: DataFrame, training: bool = False) -> DataFrame:
+        """Adds ``will_cancel``, the probability of the order being canceled."""
+        rows = boosting.features(self.preparation.apply(df, training), self.preparation.columns)
+        return network.score(rows, self.weights, "will_cancel")
+
+    def save(self, path: str) -> None:
+        """A folder with the table of layers and the preparation as JSON text."""
+        spark = SparkSession.active()
+        network.table(spark, self.weights).write.mode("overwrite").parquet(f"{path}/layers")
+        text = json.dumps({"preparation": asdict(self.preparation)})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/preparation")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "NetworkModel":
+        stored = json.loads(spark.read.text(f"{path}/preparation", wholetext=True).first().value)
+        return cls(network.read(spark.read.parquet(f"{path}/layers")), Preparation(**stored["preparation"]))
+
+
+def train_network(
+    train: DataFrame, preparation: Preparation | None = None, plan: network.Plan | None = None, block: int = network.BLOCK
+) -> NetworkModel:
+    """The published network: two layers of rectified units, a penalty on the first one, mini-batches, steps scaled by
+    a running mean of squares, on standardised features."""
+    preparation = preparation or Preparation(scaled=True, train_fill=SCORE_FILL)
+    plan = plan or network.Plan(UNITS, PENALTY, EPOCHS, BATCH)
+    rows = boosting.features(_labelled(train, preparation), preparation.columns)
+    rows = materialise(rows.select(F.xxhash64("order_id").alias("key"), "label", "x"), "search")
+    return NetworkModel(network.train(rows, plan, block), preparation)
+
+
 # --- tuning -----------------------------------------------------------------------------
 
 

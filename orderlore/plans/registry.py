@@ -261,7 +261,8 @@ def label_transform(tables: Tables) -> DataFrame:
     """Codes fitted on the orders before the validation window, applied to those in it."""
     rows = _categories(tables).join(tables["orders"].select(F.col("id").alias("order_id"), "start_at"), "order_id")
     day = F.to_date("start_at")
-    fitted, applied = rows.where(day < F.lit(VALIDATION.start)), rows.where(day.between(VALIDATION.start, VALIDATION.end))
+    fitted = rows.where(day < F.lit(VALIDATION.start))
+    applied = rows.where((day >= F.lit(VALIDATION.start)) & (day < F.lit(VALIDATION.end)))
     for column in ("creation_mean", "payment_type"):
         applied, _ = pr.label_encode(applied, column, pr.category_classes(fitted, column))
     return applied.select("order_id", "creation_mean", "payment_type")
@@ -352,7 +353,8 @@ def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_mlp(spark: SparkSession, folder: str) -> DataFrame:
-    model = mo.train_mlp(_train(spark, folder))
+    """The published network, all epochs."""
+    model = mo.train_network(_train(spark, folder))
     return model.score(_validation(spark, folder)).select("order_id", "cancel", _is_probability())
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlore.operators.metrics import kfold_split, roc_auc
-from orderlore.plans import boosting, registry
+from orderlore.plans import boosting, network, registry
 from orderlore.plans import models as mo
 from orderlore.sources.files import write_csv
 from orderlore.sources.schemas import FEATURES, MATRIX_SCHEMA, MEAN_FILLED
@@ -72,6 +72,50 @@ def test_network(matrix):
     assert _auc(model.score(matrix)) > 0.8
 
 
+def test_gradient_of_the_network():
+    rng = np.random.default_rng(4)
+    plan = network.Plan(hidden=(5, 4), penalty=0.03, seed=2)
+    weights = network.Weights.start(6, plan)
+    x, y = rng.standard_normal((20, 6)), rng.integers(0, 2, 20).astype(float)
+    flat = weights.flat()
+    assert (weights.like(flat).flat() == flat).all()
+    total = network.gradient_sum(weights, x, y) / 20
+    total[: weights.layers[0][0].size] += 2 * plan.penalty * weights.layers[0][0].ravel()
+    for i in range(len(flat)):
+        ahead, behind = flat.copy(), flat.copy()
+        ahead[i] += 1e-6
+        behind[i] -= 1e-6
+        slope = (network.loss(weights.like(ahead), x, y, plan) - network.loss(weights.like(behind), x, y, plan)) / 2e-6
+        assert total[i] == pytest.approx(slope, abs=1e-7)
+    steps = network.Steps(weights, plan)
+    steps.take(network.gradient_sum(weights, x, y), 20)
+    square = 0.1 * total**2
+    assert steps.weights.flat() == pytest.approx(flat - plan.rate * total / (np.sqrt(square) + plan.least), abs=1e-12)
+
+
+def test_published_network(spark, matrix):
+    folded = kfold_split(matrix, 5)
+    train, held = folded.where("fold > 0").drop("fold"), folded.where("fold = 0").drop("fold")
+    model = mo.train_network(train)
+    scored = model.score(held)
+    assert [w.shape for w, _ in model.weights.layers] == [(32, 64), (64, 64), (64, 1)]
+    assert _auc(scored) >= _auc(mo.train_mlp(train, maxIter=30).score(held)) - 0.02 and _auc(scored) > 0.8
+    path = shared_folder(spark, "test")
+    model.save(path)
+    again = mo.NetworkModel.load(spark, path).score(held)
+    assert again.select("order_id", "will_cancel").exceptAll(scored.select("order_id", "will_cancel")).count() == 0
+
+
+def test_network_over_several_blocks(matrix):
+    """Steps of several mini-batches: the sum over blocks is the gradient of the rows together, and the signal is learned."""
+    plan = network.Plan(hidden=(16,), epochs=6, batch=32, rate=0.02)
+    model = mo.train_network(matrix, plan=plan, block=200)
+    assert _auc(model.score(matrix)) > 0.8
+    whole = network.Plan(hidden=(4,), epochs=3, batch=10_000)
+    one, many = (mo.train_network(matrix, plan=whole, block=b).weights.flat() for b in (16_384, 150))
+    assert one == pytest.approx(many, abs=1e-9)
+
+
 def test_tuning(matrix):
     folded = kfold_split(matrix, 3)
     table = mo.cross_validate(folded, mo.settings_of({"maxIter": [1, 4], "maxDepth": [3], "stepSize": [0.2]})).collect()
