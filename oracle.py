@@ -657,6 +657,22 @@ def prep_queries() -> dict[str, str]:
                 for c in FEATURES
             ),
         ),
+        "encoder_roundtrip": sql(
+            "b_orders",
+            f"""
+            SELECT id AS order_id, CAST(creation_mean = 'manual' AS INTEGER) AS creation_mean,
+                   CAST(payment_type = 'card' AS DOUBLE) AS payment_type0,
+                   CAST(payment_type = 'cash' AS DOUBLE) AS payment_type1,
+                   {_six("coalesce(CAST(date_part('hour', canceled_at) AS DOUBLE), cancel_mean)", "cancel_hour")},
+                   {_six("(date_part('hour', start_at) - start_mean) / start_dev", "start_hour")},
+                   {_six("CAST(date_part('hour', start_at) AS DOUBLE) * date_part('hour', start_at)", "start_hour_sq")},
+                   {_six("sqrt(date_part('hour', start_at))", "start_hour_sqrt")}
+            FROM b_orders,
+                 (SELECT avg(date_part('hour', canceled_at)) AS cancel_mean, avg(date_part('hour', start_at)) AS start_mean,
+                         stddev_pop(date_part('hour', start_at)) AS start_dev
+                  FROM b_orders WHERE start_at < DATE '2017-06-20')
+            WHERE start_at >= DATE '2017-06-20' AND start_at < DATE '2017-07-04'""",
+        ),
         "label_transform": sql(
             "b_orders",
             """

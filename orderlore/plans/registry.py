@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlore.operators import classification as cl
+from orderlore.operators import encoders as en
 from orderlore.operators import history as hi
 from orderlore.operators import metrics as me
 from orderlore.operators import population as po
@@ -268,6 +270,29 @@ def label_transform(tables: Tables) -> DataFrame:
     return applied.select("order_id", "creation_mean", "payment_type")
 
 
+def encoder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Stages fitted on the orders before the validation window, saved, loaded, and applied to those in it."""
+    orders = tables_of(spark, folder)["orders"]
+    rows = orders.select(
+        F.col("id").alias("order_id"), "start_at", "creation_mean", "payment_type", F.hour("start_at").alias("start_hour"),
+        F.hour("canceled_at").alias("cancel_hour"),
+    )
+    stages = [
+        en.CategoryEncoder(inputCols=["creation_mean"]),
+        en.CategoryEncoder(inputCols=["payment_type"], oneHot=True),
+        en.MeanFiller(inputCols=["cancel_hour"]),
+        en.PowerFeatures(inputCols=["start_hour"]),
+        en.Scaler(inputCols=["start_hour"]),
+    ]
+    day, path = F.to_date("start_at"), shared_folder(spark, "encoders")
+    Pipeline(stages=stages).fit(rows.where(day < F.lit(VALIDATION.start))).write().overwrite().save(path)
+    window = rows.where((day >= F.lit(VALIDATION.start)) & (day < F.lit(VALIDATION.end)))
+    numbers = ["cancel_hour", "start_hour", "start_hour_sq", "start_hour_sqrt"]
+    return PipelineModel.load(path).transform(window).select(
+        "order_id", "creation_mean", "payment_type0", "payment_type1", *[_rounded(c) for c in numbers]
+    )
+
+
 def score_bins(spark: SparkSession, folder: str) -> DataFrame:
     """Bins written as a file and read back."""
     path = shared_folder(spark, "bins")
@@ -318,6 +343,7 @@ PREP_QUERIES: dict[str, Query] = {
     "score_bins": score_bins,
     "drop_columns": drop_columns,
     "label_transform": _on_tables(label_transform),
+    "encoder_roundtrip": encoder_roundtrip,
 }
 
 

@@ -140,3 +140,33 @@ def test_tables_from_views_and_buckets(spark):
     assert Tables.catalog(spark, "t_")["orders"].count() == 2
     kept = materialise(spark.range(3), "test")
     assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+
+
+def test_stages_are_saved_with_what_they_learned(spark):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from orderlore.operators import encoders as en
+    from orderlore.sources.tables import shared_folder
+
+    schema = "id long, kind string, n int, x double, y double"
+    train = spark.createDataFrame([(1, "b", 10, 1.0, 4.0), (2, "a", 2, None, 0.0), (3, "b", 2, 3.0, 2.0)], schema)
+    stages = [
+        en.CategoryEncoder(inputCols=["kind"]),
+        en.CategoryEncoder(inputCols=["n"], oneHot=True),
+        en.MeanFiller(inputCols=["x"]),
+        en.ConstantFiller(inputCols=["y"], value=-1.0),
+        en.PowerFeatures(inputCols=["y"]),
+        en.Scaler(inputCols=["x"]),
+    ]
+    path = shared_folder(spark, "test")
+    fitted = Pipeline(stages=stages).fit(train)
+    fitted.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    other = spark.createDataFrame([(7, "a", 10, None, None), (8, "b", 2, 2.0, 9.0)], schema)
+    got = [tuple(r) for r in again.transform(other).orderBy("id").select("id", "kind", "n0", "n1", "x", "y", "y_sq").collect()]
+    assert got == [(7, 0, 0.0, 1.0, 0.0, -1.0, 1.0), (8, 1, 1.0, 0.0, 0.0, 9.0, 81.0)]
+    assert sorted(again.transform(train).collect(), key=str) == sorted(fitted.transform(train).collect(), key=str)
+    for unseen in ((9, "c", 2, 1.0, 1.0), (9, "a", 3, 1.0, 1.0), (9, None, 2, 1.0, 1.0)):
+        with pytest.raises(Exception, match="without a code|has no code"):
+            again.transform(spark.createDataFrame([unseen], schema)).collect()
+    assert again.transform(other.where("false")).count() == 0
