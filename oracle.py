@@ -657,6 +657,28 @@ def prep_queries() -> dict[str, str]:
                 for c in FEATURES
             ),
         ),
+        "segment_numbers": sql(
+            "each_token",
+            """
+            SELECT order_id, number, CAST(len(list_filter(tokens, lambda t: t = token)) AS BIGINT) AS n
+            FROM (SELECT order_id, tokens, unnest(list_distinct(tokens)) AS token FROM m_tokens)
+            JOIN (SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS INTEGER) AS number
+                  FROM each_token GROUP BY token) USING (token)""",
+        ),
+        "segment_vectors": sql(
+            "each_token",
+            """
+            , numbers AS (
+              SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS INTEGER) AS number
+              FROM each_token GROUP BY token HAVING count(*) >= 100),
+            placed AS (SELECT row_number() OVER () AS row_no, order_id, tokens FROM m_tokens),
+            counted AS (
+              SELECT row_no, number, count(*) AS n
+              FROM (SELECT row_no, unnest(tokens) AS token FROM placed) JOIN numbers USING (token) GROUP BY row_no, number)
+            SELECT order_id, coalesce(string_agg(CAST(number AS VARCHAR), ',' ORDER BY number), '') AS numbers,
+                   coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY number), '') AS counts
+            FROM placed LEFT JOIN counted USING (row_no) GROUP BY row_no, order_id""",
+        ),
         "encoder_roundtrip": sql(
             "b_orders",
             f"""

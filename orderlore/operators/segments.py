@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderlore.operators.prep import category_classes
+from orderlore.sources.tables import materialise
+
 MISSING = "nan"  # fixed value: the token of a row without segments
 SEPARATOR = "/"  # fixed value: between the tokens of a row
 MIN_TOTAL = 100  # fixed value: columns with a smaller sum are dropped
+MOST_COLUMNS = 10_000  # tokens that get a column of their own
 
 
 def trackings(web_events: DataFrame, app_id: str, since: str | dt.date) -> DataFrame:
@@ -84,10 +88,47 @@ def token_totals(df: DataFrame) -> DataFrame:
     return df.select(F.explode(tokens("segments")).alias("token")).groupBy("token").agg(F.count("*").alias("total"))
 
 
-def segment_vocabulary(df: DataFrame, min_total: int = 1) -> list[str]:
-    """Tokens in ascending order, rare ones left out. They are the matrix's columns and part of the model, so they
-    return to the driver; there are at most as many as all tokens divided by ``min_total``."""
-    return sorted(r.token for r in token_totals(df).where(F.col("total") >= min_total).select("token").collect())
+def vocabulary_table(df: DataFrame, min_total: int = 1) -> DataFrame:
+    """(token, number, total) of the tokens that occur often enough, numbered from 0 in ascending order, stored.
+
+    Tokens are numbered by ranges, so there may be any number of them; nothing returns to the driver.
+    """
+    totals = materialise(token_totals(df).where(F.col("total") >= min_total), "tokens")
+    numbers = category_classes(totals, "token").select(F.col("value").alias("token"), F.col("code").alias("number"))
+    return totals.join(numbers, "token").select("token", "number", "total")
+
+
+def numbered_segments(df: DataFrame, vocabulary: DataFrame, *keep: str) -> DataFrame:
+    """Sparse multi-hot matrix over a vocabulary table: (the kept columns, number, n); other tokens are left out.
+
+    A frequent token has one row in the vocabulary, so the join can be split or broadcast by its size.
+    """
+    return segment_counts(df, *keep).join(vocabulary.select("token", "number"), "token").select(*keep, "number", "n")
+
+
+def numbered_vectors(df: DataFrame, vocabulary: DataFrame, *keep: str) -> DataFrame:
+    """One row per row of ``df`` with the numbers of its tokens, rising, and how often it has each: the sparse
+    vectors of the matrix, without the vocabulary in any one place."""
+    rows = df.select(*keep, "segments").withColumn("_row", F.monotonically_increasing_id())
+    rows = materialise(rows, "segment-rows")
+    held = numbered_segments(rows, vocabulary, "_row").groupBy("_row")
+    held = held.agg(F.array_sort(F.collect_list(F.struct("number", "n"))).alias("_cells"))
+    empty = F.expr("array()")
+    return rows.join(held, "_row", "left").select(
+        *keep,
+        F.coalesce(F.col("_cells.number"), empty.cast("array<int>")).alias("numbers"),
+        F.coalesce(F.col("_cells.n"), empty.cast("array<bigint>")).alias("counts"),
+    )
+
+
+def segment_vocabulary(df: DataFrame, min_total: int = 1, most: int = MOST_COLUMNS) -> list[str]:
+    """Tokens in ascending order, rare ones left out, for matrices with a column per token: part of the model, so they
+    return to the driver. More than ``most`` of them are an error; ``vocabulary_table`` has no bound."""
+    frequent = token_totals(df).where(F.col("total") >= min_total).select("token")
+    found = sorted(r.token for r in frequent.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"more than {most} tokens; use vocabulary_table")
+    return found
 
 
 def segment_vector(df: DataFrame, vocabulary: list[str], output: str = "segment_vector") -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
-from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -20,7 +18,7 @@ from orderlore.operators.prep import column_means, column_scales, fill_constant,
 from orderlore.operators.segments import segment_vector
 from orderlore.plans import boosting, network
 from orderlore.sources.schemas import FEATURES, MEAN_FILLED, SCORE_FILL, TRAIN_FILL
-from orderlore.sources.tables import materialise
+from orderlore.sources.tables import materialise, shared_folder
 
 # --- fixed values: parameters of the published experiments ---------------------------
 
@@ -361,7 +359,6 @@ def early_stopping(
     return BoostedModel(boosting.Trees.of(trees, bins), preparation), marked
 
 
-_SPLIT = re.compile(r"If \(feature (\d+) ")
 
 # --- inspection -----------------------------------------------------------------------------
 
@@ -375,12 +372,27 @@ def feature_importance(model: CancellationModel) -> DataFrame:
     )
 
 
+def nodes(model: CancellationModel) -> DataFrame:
+    """The trees of a boosted model as a table: (round, node, feature, left, right, output, rows); feature -1 is a leaf.
+
+    Read from the nodes that the model writes when it is saved.
+    """
+    spark, path = SparkSession.active(), shared_folder(SparkSession.active(), "trees")
+    model.booster.save(path)
+    stored = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    return stored.select(
+        (F.col("treeID") + 1).alias("round"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), F.col("prediction").alias("output"),
+        F.col("rawCount").alias("rows"),
+    )
+
+
 def split_importance(model: CancellationModel) -> DataFrame:
     """How many splits of a boosted model use each feature, most first."""
-    names = model.preparation.feature_names()
-    counts = Counter(names[int(i)] for tree in model.booster.trees for i in _SPLIT.findall(tree.toDebugString))
-    rows = SparkSession.active().createDataFrame(list(counts.items()), "feature string, splits long")
-    return rows.orderBy(F.desc("splits"), "feature")
+    names = list(enumerate(model.preparation.feature_names()))
+    named = SparkSession.active().createDataFrame(names, "feature_number int, feature string")
+    counts = nodes(model).where("feature >= 0").groupBy(F.col("feature").alias("feature_number")).agg(F.count("*").alias("splits"))
+    return counts.join(named, "feature_number").select("feature", "splits").orderBy(F.desc("splits"), "feature")
 
 
 # --- scoring ----------------------------------------------------------------------------------

@@ -311,6 +311,19 @@ def segment_presence(spark: SparkSession, folder: str) -> DataFrame:
     return sg.segment_presence(_segment_rows(spark, folder), [*known, sg.MISSING], "order_id", prefix="has_")
 
 
+def segment_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix over the vocabulary of the rows, as numbers."""
+    rows = _segment_rows(spark, folder)
+    return sg.numbered_segments(rows, sg.vocabulary_table(rows), "order_id")
+
+
+def segment_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over frequent tokens, a row per row, as text for comparison."""
+    rows = _segment_rows(spark, folder)
+    vectors = sg.numbered_vectors(rows, sg.vocabulary_table(rows, sg.MIN_TOTAL), "order_id")
+    return vectors.select("order_id", *[F.concat_ws(",", F.col(c).cast("array<string>")).alias(c) for c in ("numbers", "counts")])
+
+
 def _share_as_score(spark: SparkSession, folder: str) -> DataFrame:
     """A column of the matrix in the place of a model's score, so that SQL can repeat the evaluation."""
     return _validation(spark, folder).select("order_id", "cancel", F.col("canceled_all_nt_share").alias("score"))
@@ -326,6 +339,8 @@ PREP_QUERIES: dict[str, Query] = {
     "segment_matrix": lambda spark, folder: sg.segment_counts(_segment_rows(spark, folder), "order_id"),
     "segment_vocabulary": segment_vocabulary,
     "segment_presence": segment_presence,
+    "segment_numbers": segment_numbers,
+    "segment_vectors": segment_vectors,
     "drop_sparse_columns": drop_sparse_columns,
     "standardize": standardize,
     "model_input": lambda spark, folder: pr.model_input(pr.fill_constant(_mean_filled(spark, folder), TRAIN_FILL)),

@@ -51,6 +51,12 @@ def test_boosted_trees_store_and_score(spark, matrix):
     assert top in ("canceled_all_nt", "paid_all")
     splits = {r.feature: r.splits for r in mo.split_importance(again).collect()}
     assert set(splits) <= set(FEATURES) and splits["canceled_all_nt"] > 0
+    trees = mo.nodes(again).collect()
+    for number, tree in enumerate(model.booster.trees, 1):
+        own = {r.node: r for r in trees if r["round"] == number}
+        leaves = [r.output for r in sorted(own.values(), key=lambda r: r.node) if r.feature < 0]
+        assert len(own) == tree.numNodes and len(leaves) == (tree.numNodes + 1) // 2
+        assert [float(x.split("Predict: ")[1]) for x in tree.toDebugString.split("\n") if "Predict" in x] == leaves
     output = shared_folder(spark, "test")
     mo.score_files(spark, path, lambda: test.drop("cancel"), lambda scores: write_csv(scores, output))
     assert spark.read.csv(output, header=True).columns == ["order_id", "will_cancel"]

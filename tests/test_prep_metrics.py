@@ -170,3 +170,45 @@ def test_stages_are_saved_with_what_they_learned(spark):
         with pytest.raises(Exception, match="without a code|has no code"):
             again.transform(spark.createDataFrame([unseen], schema)).collect()
     assert again.transform(other.where("false")).count() == 0
+
+
+def test_near_scores_are_spread(spark):
+    """Scores within a millionth of each other go to all ranges, and the area is exact."""
+    n = 200_000
+    score = F.lit(0.1) + (F.col("id") * 7919 % n) * 5e-12
+    rows = spark.range(n).select(score.alias("p"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # small ranges are joined else
+    spark.conf.set(coalesce, "false")
+    try:
+        counts = me.score_ranges(rows.groupBy(F.col("p").alias("score")).count())
+    finally:
+        spark.conf.unset(coalesce)
+    sizes = [r["count"] for r in counts.groupBy("cell").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    by_score = sorted(((r.p, r.y) for r in rows.collect()))
+    won = below = 0
+    for _, y in by_score:
+        won, below = (won + below, below) if y else (won, below + 1)
+    pos = sum(y for _, y in by_score)
+    assert me.roc_auc(rows, "y", "p").first().auc == pytest.approx(won / (pos * (n - pos)), abs=1e-12)
+
+
+def test_vocabulary_of_any_size(spark):
+    n = 200_000
+    rows = spark.range(n).select("id", F.concat_ws("/", F.concat(F.lit("t"), F.lpad("id", 7, "0")), F.lit("hot")).alias("segments"))
+    table_ = sg.vocabulary_table(rows)
+    assert table_.count() == n + 1
+    first = {r.token: (r.number, r.total) for r in table_.where("number IN (0, 1, 199999, 200000)").collect()}
+    assert first == {"hot": (0, n), "t0000000": (1, 1), "t0199998": (n - 1, 1), "t0199999": (n, 1)}
+    cells = sg.numbered_segments(rows, table_, "id")
+    assert cells.agg(F.count("*"), F.sum("number"), F.count_if(F.col("number") == 0)).first()[:] == (2 * n, n * (n + 1) // 2, n)
+    with pytest.raises(ValueError, match="vocabulary_table"):
+        sg.segment_vocabulary(rows)
+
+
+def test_sparse_vectors(spark):
+    rows = [(1, "a/b/a"), (1, None), (2, ""), (3, "zz"), (1, "a/b/a"), (4, "b//nan")]
+    df = spark.createDataFrame(rows, "order_id long, segments string")
+    vocabulary = sg.vocabulary_table(df, 2)  # '', a, b, nan
+    got = sorted((r.order_id, r.numbers, r.counts) for r in sg.numbered_vectors(df, vocabulary, "order_id").collect())
+    assert got == [(1, [1, 2], [2, 1]), (1, [1, 2], [2, 1]), (1, [3], [1]), (2, [0], [1]), (3, [], []), (4, [0, 2, 3], [1, 1, 1])]
