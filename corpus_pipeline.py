@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlore.llm import lines, mixing, neardup, packing, quality
 from orderlore.llm.queries import tokenizer_file
-from orderlore.sources.tables import materialise
+from orderlore.sources.tables import discard, materialise_at, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,8 +63,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents of the folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages applied to the documents of the folder. What a stage leaves behind goes when the next one is written;
+    the last one's rows stay."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as keep:
+            docs, path = materialise_at(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            keep(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs

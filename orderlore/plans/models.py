@@ -18,7 +18,7 @@ from orderlore.operators.prep import column_means, column_scales, fill_constant,
 from orderlore.operators.segments import segment_vector
 from orderlore.plans import boosting, network
 from orderlore.sources.schemas import FEATURES, MEAN_FILLED, SCORE_FILL, TRAIN_FILL
-from orderlore.sources.tables import materialise, shared_folder
+from orderlore.sources.tables import leaving_nothing, materialise, shared_folder
 
 # --- fixed values: parameters of the published experiments ---------------------------
 
@@ -175,6 +175,7 @@ class NetworkModel:
         return cls(network.read(spark.read.parquet(f"{path}/layers")), Preparation(**stored["preparation"]))
 
 
+@leaving_nothing
 def train_network(
     train: DataFrame, preparation: Preparation | None = None, plan: network.Plan | None = None, block: int = network.BLOCK
 ) -> NetworkModel:
@@ -216,6 +217,7 @@ def _mean_aucs(margins: DataFrame) -> dict[tuple[int, int], float | None]:
     return {(r["fit"], r["round"]): r.auc for r in roc_auc(margins, "label", "margin", "fit", "round").collect()}
 
 
+@leaving_nothing
 def cross_validate(
     folded: DataFrame, settings: Iterable[dict], preparation: Preparation | None = None, block: int = boosting.BLOCK
 ) -> DataFrame:
@@ -278,6 +280,7 @@ class BoostedModel:
         return cls(boosting.Trees.read(spark.read.parquet(f"{path}/nodes")), Preparation(**stored["preparation"]))
 
 
+@leaving_nothing
 def train_boosted(
     train: DataFrame, preparation: Preparation | None = None, block: int = boosting.BLOCK, **parameters
 ) -> BoostedModel:
@@ -324,6 +327,7 @@ def stop_early(curve: Sequence[tuple[int, float]], patience: int) -> int:
     return best_round
 
 
+@leaving_nothing
 def early_stopping(
     train: DataFrame,
     validation: DataFrame,

@@ -33,7 +33,7 @@ from orderlore.sources.schemas import (
     VALIDATION,
     Window,
 )
-from orderlore.sources.tables import Tables, materialise, shared_folder
+from orderlore.sources.tables import Tables, fingerprint, materialise, reused, shared_folder
 
 AS_OF = dt.date(2017, 7, 10)  # fixed value: the run date of the scoring queries
 
@@ -44,19 +44,20 @@ _stored: dict[tuple[str, str, str], DataFrame | Tables] = {}
 
 
 def tables_of(spark: SparkSession, folder: str) -> Tables:
-    """The order-history tables of a folder, derived and written once per session:
+    """The order-history tables of a folder, derived and written once, also for later sessions:
     the queries then start from stored tables, as they would in production."""
     key = (spark.sparkContext.applicationId, folder, "tables")
     if key not in _stored:
-        _stored[key] = bridge(spark, folder).stored(shared_folder(spark, "tables"))
+        derived, name = bridge(spark, folder), fingerprint(spark, [folder], "tables", folder)
+        _stored[key] = Tables.of(**{t: reused(spark, f"table-{t}", name, lambda t=t: derived[t]) for t in derived})
     return _stored[key]
 
 
 def _kept(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A result written once per session and folder, for queries that start from it."""
+    """A result for queries that start from it, written once for the files of a folder and read by later sessions."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _stored:
-        _stored[key] = materialise(build(), name)
+        _stored[key] = reused(spark, name, fingerprint(spark, [folder], name, folder), build)
     return _stored[key]
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,16 +111,27 @@ def remote_query(
     return result.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])
 
 
+#: Folders handed out inside of open ``scratch`` blocks, the innermost last.
+_open: list[list[str]] = []
+
+
+def _root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/runs"
+    return root.rstrip("/")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that the session names for checkpoints.
 
     All executors must reach it. A session that names none gets a folder
     beside its saved tables, in the warehouse, which they reach as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/runs"
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
 
 
 def materialise_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
@@ -135,7 +150,84 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return materialise_at(df, purpose)[0]
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a folder that ``materialise_at`` has written, wherever its file system is."""
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediates, wherever its file system is. What is gone already is no error."""
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[str], None]]:
+    """Intermediates written inside of the block are removed at its end, also after an error.
+
+    The block is given a function that takes the paths to keep. Results that are still to be computed must not read
+    what is removed: write them inside of the block and keep them.
+    """
+    kept: set[str] = set()
+    _open.append([])
+    try:
+        yield kept.add
+    finally:
+        for path in _open.pop():
+            if path not in kept:
+                discard(spark, path)
+            elif _open:
+                _open[-1].append(path)
+
+
+def leaving_nothing(function):
+    """A function of a DataFrame that returns no plan over files: what it writes meanwhile is removed."""
+
+    @wraps(function)
+    def run(df: DataFrame, *args, **named):
+        with scratch(df.sparkSession):
+            return function(df, *args, **named)
+
+    return run
+
+
+# --- results with a name --------------------------------------------------------------
+
+
+def code_version() -> str:
+    """A hash of the library's source files, without those of the text operators."""
+    package = Path(__file__).resolve().parent.parent
+    files = sorted(f for f in package.rglob("*.py") if f.relative_to(package).parts[0] != "llm")
+    return hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str], *settings: object) -> str:
+    """A name for what is computed from the files below ``paths``: their names, sizes and times, the settings and the
+    version of the code. A changed, added or missing file gives another name."""
+    found = []
+    for path in sorted(paths):
+        place, files = _place(spark, path)
+        if not files.exists(place):
+            continue
+        listed = files.listFiles(place, True)
+        while listed.hasNext():
+            file = listed.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return hashlib.sha256(repr((sorted(found), settings, code_version())).encode()).hexdigest()[:32]
+
+
+def reused(spark: SparkSession, purpose: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The result with a name: read if an earlier run or session has finished it, else built, written and read.
+
+    It is written elsewhere and moved when whole, so a lost run leaves nothing that looks finished, and of two
+    sessions that build it at a time the first one counts. Intermediates of the building are removed.
+    """
+    path = f"{_root(spark)}/{purpose}-{name}"
+    place, files = _place(spark, path)
+    if not files.exists(_place(spark, f"{path}/_SUCCESS")[0]):
+        with scratch(spark):
+            _, written = materialise_at(build(), purpose)
+            if not files.rename(_place(spark, written)[0], place) and not files.exists(place):
+                raise OSError(f"cannot move {written} to {path}")
+    return spark.read.parquet(path)
