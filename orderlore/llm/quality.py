@@ -7,15 +7,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlore.llm.common import _LOWER, in_chunks, mixed, span_hashes, text_bytes, words_of
+from orderlore.llm.common import _LOWER, in_chunks, located, mixed, span_hashes, text_bytes, words_of
+from orderlore.sources.tables import materialise
 
 BITS = 18  # n-grams are hashed to 2 ** BITS indicators
-PER_CLASS = 5_000  # labelled rows of each class that a model is fitted on, at most
+PER_CLASS = 5_000  # labelled rows of each class that weights are fitted on, at most
+COUNTED = 100_000  # labelled rows of each class that indicators are counted in, at most; their places are broadcast
 CHUNK = 1 << 20  # bytes of text that a task hashes at once
 COST = 0.1  # upper bound of a row's dual weight
+MOST_INDICATORS = 32_000_000  # indicators of the sample, at most: 128 MB
+PART = 4_000_000  # of which about so many are fetched at a time
 PASSES = 12  # passes of the dual ascent over its rows
 KEEP = 0.7  # least score of good quality
 
@@ -94,34 +98,52 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(found) + self.shift, -30, 30)))
 
 
-def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """Logarithm of how much more frequent each indicator is in class 1 than in class 0."""
-    counts = np.full((2, 1 << BITS), smooth)
-    for found, label in zip(rows, labels, strict=True):
-        counts[label, found] += 1
-    shares = counts / counts.sum(axis=1, keepdims=True)
+@dataclass
+class Rows:
+    """The indicators of several texts behind each other, where each text's begin (one more for the end), their labels."""
+
+    found: np.ndarray
+    begins: np.ndarray
+    labels: np.ndarray
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.found[self.begins[i] : self.begins[i + 1]]
+
+    def __len__(self) -> int:
+        return len(self.labels)
+
+
+def log_count_ratios(counts: np.ndarray, smooth: float = 1.0) -> np.ndarray:
+    """Logarithm of how much more frequent each indicator is in class 1 than in class 0, from the texts of each class
+    (rows) that have it (columns)."""
+    shares = counts + smooth
+    shares = shares / shares.sum(axis=1, keepdims=True)
     return np.log(shares[1] / shares[0])
 
 
-def dual_ascent(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
-    """Hinge loss on scaled indicators, one dual weight at a time: (weights of the plain indicators, offset)."""
-    weights, bias = np.zeros(1 << BITS), 0.0
-    values = [scale[found] / max(len(found), 1) ** 0.5 for found in rows]
-    norms = [float(v @ v) + 1.0 for v in values]
+def dual_ascent(rows: Rows, scale: np.ndarray, cost: np.ndarray, passes: int = PASSES) -> tuple[np.ndarray, float]:
+    """Hinge loss on scaled indicators, one dual weight at a time: (weights of the plain indicators, offset).
+
+    A text's indicators count as ``scale`` over the root of their number. The weights kept are those of the plain
+    indicators, so a visit reads them once and a step adds squares of the scale; no scaled copy of the rows is made.
+    """
+    weights, bias, square = np.zeros(len(scale)), 0.0, scale * scale
+    roots = np.sqrt(np.maximum(np.diff(rows.begins), 1))
+    norms = np.array([float(square[rows[i]].sum()) for i in range(len(rows))]) / roots**2 + 1.0
     dual = np.zeros(len(rows))
     rng = np.random.default_rng(0)
-    for _ in range(PASSES):
+    for _ in range(passes):
         for i in rng.permutation(len(rows)):
-            sign = 1.0 if labels[i] else -1.0
-            found, v = rows[i], values[i]
-            slack = sign * (float(weights[found] @ v) + bias) - 1
+            sign = 1.0 if rows.labels[i] else -1.0
+            found = rows[i]
+            slack = sign * (float(weights[found].sum()) / roots[i] + bias) - 1
             moved = min(max(dual[i] - slack / norms[i], 0.0), cost[i])
             if moved != dual[i]:
                 step = (moved - dual[i]) * sign
-                weights[found] += step * v
+                weights[found] += step / roots[i] * square[found]
                 bias += step
                 dual[i] = moved
-    return weights * scale, bias
+    return weights, bias
 
 
 def logistic_curve(margins: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -142,57 +164,155 @@ def logistic_curve(margins: np.ndarray, labels: np.ndarray, weight: np.ndarray)
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in in_chunks(batches, "text", CHUNK):
-        rows = [found.astype(np.int32).tobytes() for found in indicators(*text_bytes(chunk.column("text")))]
+        rows = [found.astype(np.int32) for found in indicators(*text_bytes(chunk.column("text")))]
         yield pa.RecordBatch.from_arrays(
-            [chunk.column("label"), chunk.column("place"), pa.array(rows, pa.binary())], ["label", "place", "found"]
+            [
+                *(chunk.column(c) for c in ("label", "place", "turn")),
+                pa.array([len(x) for x in rows], pa.int64()),
+                pa.array([x.tobytes() for x in rows], pa.binary()),
+            ],
+            ["label", "place", "turn", "size", "found"],
         )
 
 
+def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each class that have each indicator, summed up within the task."""
+    total = np.zeros((2, 1 << BITS), np.int64)
+    for chunk in in_chunks(batches, "text", CHUNK):
+        labels = chunk.column("label").to_pylist()
+        for found, label in zip(indicators(*text_bytes(chunk.column("text"))), labels, strict=True):
+            total[label, found] += 1
+    some = np.flatnonzero(total.any(axis=0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some.astype(np.int32)), pa.array(total[0, some]), pa.array(total[1, some])], ["found", "n0", "n1"]
+    )
+
+
+def class_counts(rows: DataFrame) -> np.ndarray:
+    """For each class and indicator the texts of ``rows`` (text, label) that have it, summed up by Spark."""
+    counted = rows.select("text", "label").mapInArrow(_class_counts, "found int, n0 long, n1 long")
+    got = counted.groupBy("found").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts[:, got["found"]] = got[["n0", "n1"]].to_numpy().T
+    return counts
+
+
 def remainder(ids: str, of: int) -> Column:
     """CRC-32 of the id as text, modulo ``of``; null stays null."""
     return F.crc32(F.col(ids).cast("string").cast("binary")) % of
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """At most ``per_class`` labelled documents of each class (doc_id, text, label, place), and how many there are of each.
+@dataclass
+class Labelled:
+    """counts: how many rows of each class there are. texts: (text, label, place, turn) of those that counts are taken
+    from, place a hash of the id and turn the order in the class; sample: the first ones, with doc_id."""
 
-    ``labels`` has doc_id and the label column, 0 or 1; other rows are left out. The sample is drawn by a hash of the id. It is
-    small by its bound, so it is sent to the documents instead of sorting them.
-    """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    parts = [known.where(F.col("label") == x).withColumn("place", order).orderBy("place", "doc_id").limit(per_class) for x in (0, 1)]
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    picked = F.broadcast(parts[0].unionAll(parts[1]))
-    return docs.select("doc_id", "text").join(picked, "doc_id"), counts
+    counts: dict[int, int]
+    sample: DataFrame
+    texts: DataFrame
+
+
+def _first_by_hash(placed: DataFrame, label: int, count: int, most: int) -> DataFrame:
+    """Of a class the ``most`` rows with the least hashes. What cannot be among them is left out before sorting."""
+    rows = placed.where(F.col("label") == label)
+    if count > most:
+        share = min(1.0, 1.1 * most / count + 10 * most**0.5 / count)
+        rows = rows.where(F.col("place") < int(share * (1 << 64)) - (1 << 63)) if share < 1 else rows
+    return rows.orderBy("place", "file", "at").limit(most)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
-    """Fit on at most ``per_class`` labelled documents of each class, a quarter of them for the logistic curve.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, counted: int = COUNTED) -> Labelled:
+    """The rows of ``docs`` that ``labels`` (doc_id and the label column, 0 or 1) knows: at most ``counted`` of each class,
+    and the first ``per_class`` of them as a sample.
 
-    The ratios and the weights come from three quarters of the sample; rows of the curve count as often as their
-    class is found among all labelled rows. Without rows of both classes the score is the share of class 1, or 0.5.
+    Other labels, null ids and ids that are labelled both 0 and 1 are left out. All rows with a labelled id count. Rows
+    are taken in the order of a hash of the id, then of their place in the files. As their number is bounded, their places are
+    sent to the documents, whose texts are not shuffled.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"), F.min(label).cast("int").alias("least"))
+    known = known.where("label = least").select("doc_id", "label")
+    rows, file, at = located(docs.select("doc_id", "text"))
+    placed = rows.select("doc_id", F.col(file).alias("file"), F.col(at).alias("at")).join(known, "doc_id")
+    placed = placed.withColumn("place", F.xxhash64("doc_id", F.lit("sample"))).select("file", "at", "label", "place")
+    placed = materialise(placed, "labelled")
+    counts = {r["label"]: r["count"] for r in placed.groupBy("label").count().collect()}
+    parts = [_first_by_hash(placed, x, counts.get(x, 0), max(counted, per_class)) for x in (0, 1)]
+    turn = F.row_number().over(Window.partitionBy("label").orderBy("place", "file", "at")).alias("turn")
+    picked = materialise(parts[0].unionAll(parts[1]).select("file", "at", "label", "place", turn), "picked")
+    named = rows.select(F.col(file).alias("file"), F.col(at).alias("at"), "doc_id", "text")
+    sent = lambda some: named.join(F.broadcast(some), ["file", "at"]).drop("file", "at")
+    return Labelled(counts, sent(picked.where(F.col("turn") <= per_class)), sent(picked).drop("doc_id"))
+
+
+def _fetched(sample: DataFrame, most: int) -> tuple[Rows, np.ndarray]:
+    """The indicators of the sample's rows in their order, as one array, and the rows' places. Of rows with more than
+    ``most`` indicators in all, as many of each class as come first and have up to half of them."""
+    packed = sample.select("label", "place", "turn", "text").mapInArrow(
+        _packed, "label int, place long, turn int, size long, found binary"
+    )
+    packed = materialise(packed, "indicators")
+    sizes = packed.select("label", "place", "turn", "size").toPandas().sort_values(["turn", "label"], ignore_index=True)
+    sizes = sizes[sizes.groupby("label")["size"].cumsum() <= most // 2].reset_index(drop=True)
+    begins = np.concatenate([[0], np.cumsum(sizes["size"])]).astype(np.int64)
+    rows = Rows(np.zeros(begins[-1], np.int32), begins, sizes["label"].to_numpy())
+    number = {x: i for i, x in enumerate(zip(sizes["label"], sizes["turn"], strict=True))}
+    parts = int(begins[-1] // PART) + 1
+    for part in range(parts):  # a part at a time, so that the array is the only copy
+        got = packed.where(F.pmod(F.xxhash64("turn", "label"), F.lit(parts)) == part).select("label", "turn", "found")
+        for label, turn, found in got.toArrow().to_pandas().itertuples(index=False):
+            if (label, turn) in number:
+                i = number[label, turn]
+                rows.found[begins[i] : begins[i + 1]] = np.frombuffer(found, np.int32)
+    return rows, sizes["place"].to_numpy()
+
+
+def _some(rows: Rows, use: np.ndarray) -> Rows:
+    """The rows of the flags, copied once."""
+    of = np.flatnonzero(use)
+    sizes = np.diff(rows.begins)[of]
+    begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    found = np.empty(begins[-1], np.int32)
+    for k, i in enumerate(of):
+        found[begins[k] : begins[k + 1]] = rows[i]
+    return Rows(found, begins, rows.labels[of])
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    per_class: int = PER_CLASS,
+    most: int = MOST_INDICATORS,
+    counted: int = COUNTED,
+) -> QualityModel:
+    """Fit on the labelled rows of ``docs``; a quarter of them, by a hash of the id, makes the logistic curve.
+
+    The log count ratios come from at most ``counted`` other rows of each class, by a sum over them in Spark. The linear weights and the curve
+    come from at most ``per_class`` rows of each class with at most ``most`` indicators together, the first ones by the
+    hash; those of the curve count as often as their class is found among all labelled rows. Without rows of both classes the score is
+    the share of class 1, or 0.5. See ``labelled`` for repeated ids, null ids and labels that contradict each other.
     """
-    sample, counts = labelled_sample(docs, labels, label, per_class)
-    got = sample.select("label", "place", "text").mapInArrow(_packed, "label int, place long, found binary").toPandas()
-    got = got.sort_values(["place", "label"])
-    y = got["label"].to_numpy()
-    if len(set(y.tolist())) < 2:
-        share = float(y.mean()) if len(y) else 0.5
+    known = labelled(docs, labels, label, per_class, counted)
+    counts = known.counts
+    if not (counts.get(0) and counts.get(1)):
+        share = float(1 in counts) if counts else 0.5
         return QualityModel(np.zeros(1 << BITS), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    rows = [np.frombuffer(x, np.int32) for x in got["found"]]
-    held = np.arange(len(y)) % 4 == 3
-    inner = [r for r, h in zip(rows, held, strict=True) if not h]
-    scale = log_count_ratios(inner, y[~held])
-    size = np.bincount(y[~held], minlength=2)
-    weights, bias = dual_ascent(inner, y[~held], scale, COST * (size.sum() / 2 / np.maximum(size, 1))[y[~held]])
+    in_curve = F.pmod("place", F.lit(4)) == 3
+    rows, places = _fetched(known.sample, most)
+    held = places % 4 == 3
+    train = ~held if len(set(rows.labels[~held].tolist())) == 2 else np.ones(len(rows), bool)
+    curve = held if len(set(rows.labels[held].tolist())) == 2 else np.ones(len(rows), bool)
+    scale = log_count_ratios(class_counts(known.texts if train.all() else known.texts.where(~in_curve)))
+    inner = _some(rows, train)
+    size = np.bincount(inner.labels, minlength=2)
+    weights, bias = dual_ascent(inner, scale, COST * (size.sum() / 2 / np.maximum(size, 1))[inner.labels])
     model = QualityModel(weights.astype(np.float32), bias, 1.0, 0.0)
-    curve = held if len(set(y[held].tolist())) == 2 else np.ones(len(y), bool)
-    margins = np.array([model.margin(r) for r, c in zip(rows, curve, strict=True) if c])
-    n = np.bincount(y[curve], minlength=2)
-    weight = np.array([counts[0] / n[0], counts[1] / n[1]])[y[curve]]
-    model.slope, model.shift = logistic_curve(margins, y[curve], weight / weight.mean())
+    own = rows.labels[curve]
+    margins = np.array([model.margin(rows[i]) for i in np.flatnonzero(curve)])
+    n = np.maximum(np.bincount(own, minlength=2), 1)
+    weight = np.array([counts[0] / n[0], counts[1] / n[1]])[own]
+    model.slope, model.shift = logistic_curve(margins, own, weight / weight.mean())
     return model
 
 

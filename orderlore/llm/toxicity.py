@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlore.llm.common import _LOWER, in_chunks, span_hashes, text_bytes, words_of
-from orderlore.llm.quality import _counted, labelled_sample
+from orderlore.llm.quality import _counted, labelled
 from orderlore.sources.tables import materialise
 
 PER_CLASS = 5_000  # labelled rows of each class that a model is fitted on, at most
@@ -27,17 +27,19 @@ NEAR = 5  # words between an entry of the lexicon and a second person
 TOXIC = 0.5  # least score of a toxic text
 
 #: Words of address in the languages of the corpus.
-SECOND_PERSON = (
-    "you your yours yourself du dich dir dein deine deinen ihr euch euer sie ihnen ihre tu te toi ton ta tes vous votre "
-    "vos tú ti usted ustedes vosotros tus su sus"
-).split()
+SECOND_PERSON = [
+    "you", "your", "yours", "yourself", "du", "dich", "dir", "dein", "deine", "deinen", "ihr", "euch", "euer", "sie",
+    "ihnen", "ihre", "tu", "te", "toi", "ton", "ta", "tes", "vous", "votre", "vos", "tú", "ti", "usted", "ustedes",
+    "vosotros", "tus", "su", "sus",
+]
 
 #: Insults that hold without any labels.
-INSULTS = (
-    "idiot idiots idiotic moron morons stupid scum trash loser losers pathetic worthless disgusting clown dumb jerk "
-    "idiota estúpido estúpida imbécil basura asqueroso connard stupide débile ordure blödmann dumm dummkopf abschaum "
-    "trottel widerlich"
-).split()
+INSULTS = [
+    "idiot", "idiots", "idiotic", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "pathetic",
+    "worthless", "disgusting", "clown", "dumb", "jerk", "idiota", "estúpido", "estúpida", "imbécil", "basura",
+    "asqueroso", "connard", "stupide", "débile", "ordure", "blödmann", "dumm", "dummkopf", "abschaum", "trottel",
+    "widerlich",
+]
 
 MEASURES = (
     *(f"{kind}_{i}" for i in range(len(STEMS)) for kind in ("density", "hits")),
@@ -229,8 +231,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     train the trees, the last quarter the isotonic curve, in which rows count as often as their class is found among all
     labelled rows. Without rows of both classes the score is constant.
     """
-    sample, counts = labelled_sample(docs, labels, label, per_class)
-    sample = materialise(sample.withColumn("half", F.pmod("place", F.lit(2)).cast("int")), "sample")
+    known = labelled(docs, labels, label, per_class, per_class)
+    counts = known.counts
+    sample = materialise(known.sample.withColumn("half", F.pmod("place", F.lit(2)).cast("int")), "sample")
     if not (counts.get(0) and counts.get(1)):
         return ToxicityModel(Lexicon([_hashes(INSULTS), *[np.zeros(0, np.uint64)] * 3]), None, None, float(1 in counts))
     lexicons = learn_lexicons(sample)
