@@ -29,13 +29,13 @@ PERCENT = 75  # least similarity of a link, in hundredths
 BANDS, ROWS = 8, 3  # a pair at the least similarity shares no band with probability (1 - 0.75 ** 3) ** 8, 1.3 %
 LEAST = 20  # lines of fewer characters repeat by chance and stay
 CHUNK = 1 << 19  # bytes of text that a task hashes at once
-NODE = 1 << 17  # a bucket of up to so many characters is compared exhaustively
-BRANCHES = 4  # further minwise values by which a larger bucket is split
+SEEN = 200_000  # lines that a task remembers to have had
+NODE = 1 << 20  # a bucket of up to so many characters is compared exhaustively
 COPIES = 8  # a larger bucket is compared in blocks at once if that takes up to so many copies of a line
-DEPTH = 3  # levels of splitting before a bucket is compared in blocks
+FINE_BANDS, FINE_ROWS = 27, 6  # bands of what is larger: a pair at the least similarity shares none with 0.5 %
 
 _FACTORS = multipliers(BANDS * ROWS, 7_310)
-_FURTHER = multipliers(DEPTH * BRANCHES, 7_311)
+_FINE = multipliers(FINE_BANDS * FINE_ROWS, 7_311)
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(128, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -80,28 +80,35 @@ def _rolled(points: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def _banded(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Per line one number for each band of minwise values."""
+    out = np.zeros((len(least), bands), np.uint64)
+    for r in range(rows):
+        out = (out * np.uint64(_BASE)) ^ least[:, r::rows]
+    out = out * np.uint64(_BASE) + np.arange(bands, dtype=np.uint64)
+    return out ^ (out >> np.uint64(31))
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per line of at least LEAST characters: its place, a key of its characters, and its bands unless the same chunk
-    has had them from an equal line."""
+    """Per line of at least LEAST characters: its place, a key of its characters, the key's first bytes as a number, and
+    its bands unless the task remembers to have had them from an equal line."""
+    seen: set[bytes] = set()
     for chunk in in_chunks(batches, "text", CHUNK):
         points, begins, text, number = _plain([t or "" for t in chunk.column("text").to_pylist()])
         use = np.flatnonzero(np.diff(begins) >= LEAST)
         if not len(use):
             continue
-        counts = (np.diff(begins) - SIZE + 1)[use]
-        at = np.concatenate([[0], np.cumsum(counts)])
-        places = np.repeat(begins[use] - at[:-1], counts) + np.arange(at[-1])
-        least = minwise(_rolled(points)[places], at, _FACTORS).astype(np.uint64)
-        bands = np.zeros((len(use), BANDS), np.uint64)
-        for r in range(ROWS):
-            bands = (bands * np.uint64(_BASE)) ^ least[:, r::ROWS]
-        bands = bands * np.uint64(_BASE) + np.arange(BANDS, dtype=np.uint64)
-        bands ^= bands >> np.uint64(31)
         held = points.tobytes()
         keys = [xxhash.xxh3_128_digest(held[4 * begins[i] : 4 * begins[i + 1]]) for i in use]
-        seen: set[bytes] = set()
-        again = np.array([k in seen or seen.add(k) is not None for k in keys])
-        ends = np.concatenate([[0], np.cumsum(np.where(again, 0, BANDS))])
+        if len(seen) > SEEN:
+            seen.clear()
+        new = np.array([k not in seen and seen.add(k) is None for k in keys])
+        own = use[new]
+        counts = np.diff(begins)[own] - SIZE + 1
+        at = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat(begins[own] - at[:-1], counts) + np.arange(at[-1])
+        least = minwise(_rolled(points)[places], at, _FACTORS).astype(np.uint64)
+        ends = np.concatenate([[0], np.cumsum(np.where(new, BANDS, 0))])
         rows = pa.array(text[use])
         yield pa.RecordBatch.from_arrays(
             [
@@ -110,9 +117,12 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chunk.column("doc_id").take(rows),
                 pa.array(number[use], pa.int32()),
                 pa.array(keys, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[~again].view(np.int64).ravel())),
+                pa.array(np.frombuffer(b"".join(keys), ">i8")[::2].astype(np.int64)),
+                pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(_banded(least, BANDS, ROWS).view(np.int64).ravel())
+                ),
             ],
-            ["file", "at", "doc_id", "line", "key", "bands"],
+            ["file", "at", "doc_id", "line", "key", "id", "bands"],
         )
 
 
@@ -149,19 +159,27 @@ def _named_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.string())], ["key", "text"])
 
 
-def similarity_sets(text: str) -> np.ndarray:
-    """The distinct shingles of one line."""
-    points, _, _, _ = _plain([text.replace("\n", " ")])
-    return distinct(_rolled(points)[: len(points) - SIZE + 1])
+def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each line, sorted."""
+    values, at = _shingled(texts)
+    return [distinct(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that are similar enough; lines that occur in several pairs of a batch are shingled once."""
     for batch in batches:
-        links = []
-        for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-            x, y = similarity_sets(a), similarity_sets(b)
+        if not batch.num_rows:
+            continue
+        sides = [batch.column(c).dictionary_encode() for c in ("text_a", "text_b")]
+        sets = [_shingle_sets(s.dictionary.to_pylist()) for s in sides]
+        sizes = [np.array([len(x) for x in own])[s.indices.to_numpy()] for s, own in zip(sides, sets, strict=True)]
+        small, large = np.minimum(*sizes), np.maximum(*sizes)
+        links = 100 * small >= PERCENT * large
+        pairs = np.stack([s.indices.to_numpy() for s in sides], axis=1)
+        for i in np.flatnonzero(links):
+            x, y = sets[0][pairs[i, 0]], sets[1][pairs[i, 1]]
             both = len(x) + len(y) - len(distinct(np.concatenate([x, y])))
-            links.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            links[i] = 100 * both >= PERCENT * (len(x) + len(y) - both)
         yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
 
@@ -178,24 +196,22 @@ def _shingled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _rolled(points)[np.repeat(begins[:-1] - at[:-1], counts) + np.arange(at[-1])], at
 
 
-def _split(level: int):
-    """Each line goes to one smaller bucket for each of the level's further minwise values."""
-    factors = _FURTHER[level * BRANCHES : (level + 1) * BRANCHES]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in in_chunks(batches, "text", CHUNK):
-            least = minwise(*_shingled(chunk.column("text").to_pylist()), factors).astype(np.uint64)
-            node = chunk.column("node").to_numpy().view(np.uint64)
-            for k in range(BRANCHES):
-                child = mixed(mixed(node + np.uint64(k + 1)) ^ least[:, k])
-                others = [chunk.column(c) for c in ("id", "comp", "chars")]
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *others], ["node", "id", "comp", "chars"])
-
-    return run
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line goes to one smaller bucket for each of the finer bands."""
+    for chunk in in_chunks(batches, "text", CHUNK):
+        least = minwise(*_shingled(chunk.column("text").to_pylist()), _FINE).astype(np.uint64)
+        node = mixed(chunk.column("node").to_numpy().view(np.uint64))[:, None]
+        child = mixed(node ^ _banded(least, FINE_BANDS, FINE_ROWS)).view(np.int64)
+        for k in range(FINE_BANDS):
+            others = [chunk.column(c) for c in ("id", "comp", "chars")]
+            yield pa.RecordBatch.from_arrays([pa.array(child[:, k].copy()), *others], ["node", "id", "comp", "chars"])
 
 
 def _joined(texts: list[str], comp: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of similar lines of different components, as few as join what all of them join."""
+    """Pairs of similar lines of different components, as few as join what all of them join.
+
+    Each line is compared with the later ones that share shingles with it, until one component is left.
+    """
     n, links = len(texts), []
     values, at = _shingled(texts)
     owner = np.repeat(np.arange(n), np.diff(at))
@@ -203,20 +219,22 @@ def _joined(texts: list[str], comp: np.ndarray) -> list[tuple[int, int]]:
     values, owner = values[order], owner[order]
     new = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
     values, owner = values[new], owner[new]
-    start, stop = (np.searchsorted(values, values, side) for side in ("left", "right"))
+    stop = np.searchsorted(values, values, "right")
     sizes = np.bincount(owner, minlength=n)
     of, ends = np.argsort(owner, kind="stable"), np.cumsum(sizes)
+    left = len(np.unique(comp))
     for i in range(n):
-        if (comp == comp[i]).all():
+        if left == 1:
             break
-        own = of[ends[i] - sizes[i] : ends[i]]
-        lengths = stop[own] - start[own]
-        where = np.repeat(start[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        own = of[ends[i] - sizes[i] : ends[i]] + 1  # behind the line itself
+        lengths = stop[own - 1] - own
+        where = np.repeat(own - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         both = np.bincount(owner[where], minlength=n)
         for j in np.flatnonzero((100 * both >= PERCENT * (sizes + sizes[i] - both)) & (comp != comp[i])):
             if comp[j] != comp[i]:
                 links.append((i, int(j)))
                 comp[comp == comp[j]] = comp[i]
+                left -= 1
     return links
 
 
@@ -277,29 +295,26 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _rest(stars: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between the components that ``links`` leave within a bucket of bands: small buckets whole, large ones split by
-    further minwise values, the rest in blocks."""
+    """Links between the components that ``links`` leave within a bucket of bands: buckets of up to NODE characters whole,
+    larger ones in blocks if few copies do, else by finer bands, and what these leave large in blocks."""
     comp = components(links).select(_number("node").alias("id"), _number("component").alias("component"))
-    named = texts.select(_number("key").alias("id"), "key", "text")
+    named = texts.select("id", "key", "text")
     rows = stars.select("band", "id").unionAll(stars.select("band", F.col("low").alias("id")).distinct())
     rows = rows.join(comp, "id", "left").join(named.select("id", F.length("text").cast("long").alias("chars")), "id")
     rows = rows.select(F.col("band").alias("node"), "id", F.coalesce("component", "id").alias("comp"), "chars")
     rows = stored(_mixed_buckets(rows, 3), "line-buckets")  # the star has compared both lines of a bucket of two
     columns = ["node", "id", "comp"]
     nodes, large = rows.where(F.col("n") <= NODE).select(columns), rows.where(F.col("n") > NODE)
-    for level in range(DEPTH):
-        if large.isEmpty():
-            break
+    if not large.isEmpty():
         blocks, large = _divided(large)
         nodes = nodes.unionAll(_in_blocks(blocks).select(columns))
-        if large.isEmpty():
-            break
+    if not large.isEmpty():
         wide = large.drop("n").join(named.select("id", "text"), "id")
-        split = wide.mapInArrow(_split(level), "node long, id long, comp long, chars long").distinct()
-        rows = stored(_mixed_buckets(split, 2), "line-buckets")
+        fine = wide.mapInArrow(_fine, "node long, id long, comp long, chars long").distinct()
+        rows = stored(_mixed_buckets(fine, 2), "line-buckets")
         nodes, large = nodes.unionAll(rows.where(F.col("n") <= NODE).select(columns)), rows.where(F.col("n") > NODE)
-    if not large.isEmpty():
-        nodes = nodes.unionAll(_in_blocks(large).select(columns))
+        if not large.isEmpty():
+            nodes = nodes.unionAll(_in_blocks(large).select(columns))
     whole = nodes.join(named, "id").repartition("node").sortWithinPartitions("node")
     return stored(whole.select("node", "comp", "key", "text").mapInArrow(_linked, "a binary, b binary"), "line-links")
 
@@ -315,25 +330,23 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("file", "at", F.col("doc_id").cast("long"), "text")
     lines = stored(
-        docs.mapInArrow(_lines, "file long, at long, doc_id long, line int, key binary, bands array<long>"), "lines"
+        docs.mapInArrow(_lines, "file long, at long, doc_id long, line int, key binary, id long, bands array<long>"), "lines"
     )
-    banded = lines.select(F.explode("bands").alias("band"), _number("key").alias("id"))
+    banded = lines.select(F.explode("bands").alias("band"), "id")
     # a band's rows pass as a stream of two numbers each; equal lines have been thinned before
     banded = banded.repartition("band").sortWithinPartitions("band", "id")
     stars = stored(banded.mapInArrow(_stars, "band long, low long, id long"), "line-stars")
     pairs = stored(stars.select("low", "id").distinct(), "line-pairs")
     ids = pairs.select("id").union(pairs.select("low")).distinct()
-    once = lines.select("file", "at", "line", "key", _number("key").alias("id")).join(ids, "id")
+    once = lines.select("file", "at", "line", "key", "id").join(ids, "id")
     once = once.groupBy("key").agg(F.first(F.struct("file", "at", "line", "id")).alias("x"))
     once = materialise(once.select("key", "x.*"), "named-lines")
     named = once.groupBy("file", "at").agg(F.collect_list(F.struct("line", "key")).alias("named"))
     texts = docs.select("file", "at", "text").join(named, ["file", "at"]).select("text", "named")
-    texts = stored(texts.mapInArrow(_named_lines, "key binary, text string"), "line-texts")
-    keys = once.select("key", "id")
-    keyed = pairs.join(keys.select(F.col("key").alias("a"), F.col("id").alias("low")), "low")
-    keyed = keyed.join(keys.select(F.col("key").alias("b"), "id"), "id").select("a", "b")
-    keyed = keyed.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    keyed = keyed.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    texts = texts.mapInArrow(_named_lines, "key binary, text string").withColumn("id", _number("key"))
+    texts = stored(texts, "line-texts")  # ids of different lines may be equal: that makes candidates, not links
+    side = lambda x, y: texts.select(F.col("id").alias(y), F.col("key").alias(x), F.col("text").alias(f"text_{x}"))
+    keyed = pairs.join(side("b", "id"), "id").join(side("a", "low"), "low")
     links = stored(keyed.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a binary, b binary"), "line-links")
     links = links.unionAll(_rest(stars, links, texts))
     joined = components(links).withColumnRenamed("node", "key")

@@ -276,3 +276,23 @@ def test_whitening_of_few_vectors(spark):
     flat = [(i, [float(i % 4), 0.25]) for i in range(8)]
     assert set(r.component for r in whitening.whitened(spark.createDataFrame(flat, schema)).collect()) == {1}
     assert whitening._exact_deviation(np.array([[1 << 40], [-(1 << 40)]]), 2, [0]) == [None, None]
+
+
+@pytest.mark.parametrize("kind", ["random", "chains", "two parents", "stars", "clique"])
+def test_components_of_many_shapes(spark, kind):
+    from orderlore.llm.common import components
+
+    rng = random.Random(6)
+    edges = {
+        "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(220)],
+        "chains": [(k + 100 * c, k + 1 + 100 * c) for c in range(3) for k in range(40)],
+        "two parents": [(30 + k, k % 7) for k in range(50)] + [(30 + k, (k + 1) % 7 + 10) for k in range(50)],
+        "stars": [(100 * c, 100 * c + k) for c in range(4) for k in range(1, 30)],
+        "clique": [(a, b) for a in range(12) for b in range(12)],
+    }[kind]
+    groups = helpers.Groups(1000)
+    for a, b in edges:
+        groups.join(a, b)
+    want = {x: groups.root(x) for e in edges if e[0] != e[1] for x in e}
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want

@@ -35,3 +35,17 @@ def test_pipeline(spark):
     assert kept[0] <= 200 and kept[1] == kept[0] and kept[2] <= kept[1]
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert pieces.where("start = 0").count() == kept[3]
+
+
+def test_pipeline_leaves_its_result_alone(spark):
+    """Of all that the stages write, the rows of the last one stay."""
+    from orderlore.sources.tables import shared_folder
+
+    root = shared_folder(spark, "x").rsplit("/", 1)[0]
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = lambda: {f.getPath().getName() for f in files.listStatus(place)} if files.exists(place) else set()
+    before = names()
+    rows = corpus_pipeline.run(spark, FOLDER)
+    left = names() - before
+    assert len(left) == 1 and next(iter(left)).startswith("packing-") and rows.count() > 0

@@ -158,3 +158,23 @@ def test_isotonic_curve_never_falls(spark):
     both = raw.select("doc_id", "raw").join(toxicity.score(texts, model), "doc_id").orderBy("raw").collect()
     scores = [r.score for r in both]
     assert all(a <= b + 1e-12 for a, b in zip(scores, scores[1:], strict=False)) and max(scores) > 0.5 > min(scores)
+
+
+# --- hosts ------------------------------------------------------------------------------
+
+def test_small_hosts_are_shrunk_to_the_mean(spark):
+    """Many hosts of three documents whose rates differ by chance alone stay near the mean; large ones with rates of their
+    own pull the prior down and keep theirs."""
+    from orderlore.llm import hostrules
+
+    rng = np.random.default_rng(7)
+    failing = rng.binomial(3, 0.2, 3000)
+    schema = "host string, n long, " + ", ".join(f"fails_{r} long" for r in hostrules.RULES)
+    frame = lambda rows: spark.createDataFrame([(h, n, *[f] * len(hostrules.RULES)) for h, n, f in rows], schema)
+    rates = [r.rate_lines for r in hostrules.host_rates(frame([(f"h{i}", 3, int(f)) for i, f in enumerate(failing)])).collect()]
+    assert max(rates) < 0.35 and min(rates) > 0.15
+    large = [(f"h{i}", 3, int(f)) for i, f in enumerate(failing)] + [(f"b{i}", 5000, 4500 if i % 2 else 100) for i in range(8)]
+    got = {r.host: r.rate_lines for r in hostrules.host_rates(frame(large)).collect()}
+    assert got["b1"] == pytest.approx(0.9, abs=0.01) and got["b2"] == pytest.approx(0.02, abs=0.01)
+    one = hostrules.host_rates(frame([("only", 10, 9)])).first()
+    assert one.rate_lines == pytest.approx(0.9) and hostrules.host_rates(frame([])).count() == 0
