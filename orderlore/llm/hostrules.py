@@ -76,17 +76,24 @@ def host_rates(hosts: DataFrame) -> DataFrame:
     """Add rate_<rule>, the shrunk share of failing documents of each host.
 
     ``hosts`` has n and fails_<rule>. The prior of a rule is a beta distribution with the mean of all documents and
-    the spread of the hosts' own rates; a host with few documents stays near the mean, a large one near its own rate.
+    the spread of the hosts' true rates: that of their own rates, weighted by documents, less what chance alone gives
+    to as many documents. A host with few documents stays near the mean, a large one near its own rate; where the
+    rates differ by no more than chance, or there is one host, all stay near the mean.
     """
-    total = [F.sum("n").alias("n"), *[F.sum(f"fails_{r}").alias(r) for r in RULES]]
+    square = F.sum(F.col("n").cast("double") * F.col("n")).alias("square")
+    total = [F.sum("n").alias("n"), F.count("*").alias("hosts"), square, *[F.sum(f"fails_{r}").alias(r) for r in RULES]]
     sums = hosts.agg(*total).first()
     if not sums["n"]:
         return hosts.withColumns({f"rate_{r}": F.lit(0.0) for r in RULES})
     mean = {r: sums[r] / sums["n"] for r in RULES}
-    spread = hosts.agg(*[F.avg((F.col(f"fails_{r}") / F.col("n") - mean[r]) ** 2).alias(r) for r in RULES]).first()
+    away = lambda r: F.col(f"fails_{r}") / F.col("n") - mean[r]
+    spread = hosts.agg(*[F.sum(F.col("n") * away(r) * away(r)).alias(r) for r in RULES]).first()
+    between = sums["n"] - sums["square"] / sums["n"]
     rates = {}
     for r in RULES:
-        weight = mean[r] * (1 - mean[r]) / spread[r] - 1 if spread[r] else PRIOR_MOST
+        chance = mean[r] * (1 - mean[r])
+        true = (spread[r] - (sums["hosts"] - 1) * chance) / between if between > 0 else 0.0
+        weight = chance / true - 1 if true > 0 else PRIOR_MOST
         weight = min(max(weight, PRIOR_LEAST), PRIOR_MOST)
         rates[f"rate_{r}"] = (F.col(f"fails_{r}") + mean[r] * weight) / (F.col("n") + weight)
     return hosts.withColumns(rates)

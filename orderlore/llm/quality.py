@@ -131,9 +131,9 @@ def dual_ascent(rows: Rows, scale: np.ndarray, cost: np.ndarray, passes: int = P
     roots = np.sqrt(np.maximum(np.diff(rows.begins), 1))
     norms = np.array([float(square[rows[i]].sum()) for i in range(len(rows))]) / roots**2 + 1.0
     dual = np.zeros(len(rows))
-    rng = np.random.default_rng(0)
+    own, rng = np.flatnonzero(cost > 0), np.random.default_rng(0)
     for _ in range(passes):
-        for i in rng.permutation(len(rows)):
+        for i in own[rng.permutation(len(own))]:
             sign = 1.0 if rows.labels[i] else -1.0
             found = rows[i]
             slack = sign * (float(weights[found].sum()) / roots[i] + bias) - 1
@@ -267,17 +267,6 @@ def _fetched(sample: DataFrame, most: int) -> tuple[Rows, np.ndarray]:
     return rows, sizes["place"].to_numpy()
 
 
-def _some(rows: Rows, use: np.ndarray) -> Rows:
-    """The rows of the flags, copied once."""
-    of = np.flatnonzero(use)
-    sizes = np.diff(rows.begins)[of]
-    begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    found = np.empty(begins[-1], np.int32)
-    for k, i in enumerate(of):
-        found[begins[k] : begins[k + 1]] = rows[i]
-    return Rows(found, begins, rows.labels[of])
-
-
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -304,9 +293,9 @@ def fit(
     train = ~held if len(set(rows.labels[~held].tolist())) == 2 else np.ones(len(rows), bool)
     curve = held if len(set(rows.labels[held].tolist())) == 2 else np.ones(len(rows), bool)
     scale = log_count_ratios(class_counts(known.texts if train.all() else known.texts.where(~in_curve)))
-    inner = _some(rows, train)
-    size = np.bincount(inner.labels, minlength=2)
-    weights, bias = dual_ascent(inner, scale, COST * (size.sum() / 2 / np.maximum(size, 1))[inner.labels])
+    size = np.bincount(rows.labels[train], minlength=2)
+    cost = np.where(train, COST * (size.sum() / 2 / np.maximum(size, 1))[rows.labels], 0.0)
+    weights, bias = dual_ascent(rows, scale, cost)
     model = QualityModel(weights.astype(np.float32), bias, 1.0, 0.0)
     own = rows.labels[curve]
     margins = np.array([model.margin(rows[i]) for i in np.flatnonzero(curve)])

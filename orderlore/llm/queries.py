@@ -55,7 +55,8 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     left = suffix.without_repeated_strings(_table(spark, folder, "documents"))
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    changed = (F.col("n_removed") > 0).alias("changed")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", changed)
 
 
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +186,11 @@ hosts AS (
         ON short, symbols, lines, repeats, letters INTO NAME rule VALUE failed)
   GROUP BY source, rule),
 means AS (SELECT rule, SUM(f) / SUM(n) AS m FROM hosts GROUP BY rule),
-spreads AS (SELECT rule, m, AVG((f / n - m) * (f / n - m)) AS v FROM hosts JOIN means USING (rule) GROUP BY rule, m),
+spreads AS (
+  SELECT rule, m, CASE WHEN SUM(n) - SUM(n * n) / SUM(n) > 0
+                       THEN (SUM(n * (f / n - m) * (f / n - m)) - (COUNT(*) - 1) * m * (1 - m)) / (SUM(n) - SUM(n * n) / SUM(n))
+                       ELSE 0 END AS v
+  FROM hosts JOIN means USING (rule) GROUP BY rule, m),
 priors AS (
   SELECT rule, m,
          LEAST(GREATEST(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1000000.0 END, 1.0), 1000000.0) AS w
