@@ -218,8 +218,8 @@ part(
     """
     SELECT o.id AS order_id, o.subscription_id IS NULL AS single,
            o.creation_mean = 'auto' AND o.canceled_at BETWEEN o.created_at AND o.created_at + INTERVAL 10 MINUTE AS at_once,
-           CASE WHEN o.canceled_at BETWEEN c.perform_at AND c.perform_at + INTERVAL 10 MINUTE
-                THEN c.status || ':' || CASE c.status WHEN 'success' THEN c.result ELSE '' END END AS call,
+           coalesce(o.canceled_at BETWEEN c.perform_at AND c.perform_at + INTERVAL 10 MINUTE, false) AS after_call,
+           c.status, c.result,
            date_diff('day', CAST(o.canceled_at AS DATE), CAST(s.deactivated_at AS DATE)) AS days_to_end,
            s.deactivated_at IS NULL AS endless, r.sub_cancel_num
     FROM b_orders o
@@ -234,9 +234,9 @@ part(
     """
     SELECT order_id, CASE
         WHEN at_once THEN 'trash_autosubscr'
-        WHEN call = 'failed:' THEN 'ivr-auto'
-        WHEN call = 'success:order_canceled' THEN 'ivr-user'
-        WHEN call = 'success:handled_by_call_center' THEN 'ivr-cc'
+        WHEN after_call AND status = 'failed' THEN 'ivr-auto'
+        WHEN after_call AND status = 'success' AND result = 'order_canceled' THEN 'ivr-user'
+        WHEN after_call AND status = 'success' AND result = 'handled_by_call_center' THEN 'ivr-cc'
         WHEN single THEN 'one-time'
         WHEN days_to_end = 0 THEN CASE sub_cancel_num WHEN 1 THEN 'subscr_cancel' ELSE 'trash_subscr' END
         WHEN endless OR days_to_end > 0 THEN 'part-subscr'
@@ -411,11 +411,22 @@ part(
 )
 part("each_token", "m_tokens", "SELECT order_id, unnest(tokens) AS token FROM m_tokens")
 
-_ORDER_HISTORY = (
-    "paid_all paid_16d paid_30d paid_60d canceled_all_nt canceled_16d_nt canceled_30d_nt canceled_60d_nt "
-    "canceled_onetime_nt"
-).split()
-_DAYS_SINCE = "days_since_last_cancel_all_nt days_since_last_cancel_onetime_nt days_since_last_paid_order".split()
+_ORDER_HISTORY = [
+    "paid_all",
+    "paid_16d",
+    "paid_30d",
+    "paid_60d",
+    "canceled_all_nt",
+    "canceled_16d_nt",
+    "canceled_30d_nt",
+    "canceled_60d_nt",
+    "canceled_onetime_nt",
+]
+_DAYS_SINCE = [
+    "days_since_last_cancel_all_nt",
+    "days_since_last_cancel_onetime_nt",
+    "days_since_last_paid_order",
+]
 
 
 def _matrix(tag: str) -> str:
@@ -525,10 +536,18 @@ def _as_double(name: str) -> str:
 def prep_queries() -> dict[str, str]:
     """Preparation and evaluation on the validation matrix."""
     hours, means, payments = range(7, 19), ("auto", "manual"), ("card", "cash")
-    powers = (
-        "paid_all canceled_all_nt paid_16d paid_30d paid_60d canceled_16d_nt canceled_30d_nt canceled_60d_nt "
-        "dow_paid dow_canceled"
-    ).split()
+    powers = [
+        "paid_all",
+        "canceled_all_nt",
+        "paid_16d",
+        "paid_30d",
+        "paid_60d",
+        "canceled_16d_nt",
+        "canceled_30d_nt",
+        "canceled_60d_nt",
+        "dow_paid",
+        "dow_canceled",
+    ]
     mean_filled = {c: f"coalesce({_as_double(c)}, avg({c}) OVER ())" for c in ("shifts_num", "dow_paid_share")}
     filled = ", ".join(f"{mean_filled.get(c, f'coalesce({_as_double(c)}, 0)')} AS {c}" for c in FEATURES)
     tokens = [str(i) for i in range(50)] + ["click", "purchase", "signup", "view", "nan"]
@@ -707,7 +726,7 @@ def prep_queries() -> dict[str, str]:
 
 def model_queries() -> dict[str, str]:
     """What SQL can tell of the models: scored rows, settings, rounds, features."""
-    scored = "SELECT order_id, cancel, true AS is_probability FROM m_val"
+    scored = "SELECT order_id, cancel, true AS is_probability, true AS learned FROM m_val"
 
     def settings(fixed: list[str], folds: str) -> str:
         return " UNION ALL ".join(f"SELECT '{x}' AS setting{folds}, true AS auc_in_range" for x in fixed)
@@ -735,7 +754,7 @@ def model_queries() -> dict[str, str]:
     return {
         "train_gbt": sql("m_val", scored),
         "train_gbt_segments": sql(
-            "m_segments", "SELECT order_id, segments, cancel, true AS is_probability FROM m_segments"
+            "m_segments", "SELECT order_id, segments, cancel, true AS is_probability, true AS learned FROM m_segments"
         ),
         "train_mlp": sql("m_val", scored),
         "cross_validate": settings(grid, five),
@@ -746,5 +765,5 @@ def model_queries() -> dict[str, str]:
         "feature_importance": f"SELECT unnest([{features}]) AS feature, CAST(1 AS DOUBLE) AS total",
         "split_importance": "SELECT CAST(0 AS BIGINT) AS unknown_features, true AS has_splits",
         "model_roundtrip": sql("m_val", "SELECT order_id, true AS same FROM m_val"),
-        "score_orders": sql("m_pred", "SELECT order_id, true AS is_probability FROM m_pred"),
+        "score_orders": sql("m_pred", "SELECT order_id, true AS is_probability, true AS varies FROM m_pred"),
     }

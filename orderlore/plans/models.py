@@ -175,6 +175,10 @@ class NetworkModel:
         return cls(network.read(spark.read.parquet(f"{path}/layers")), Preparation(**stored["preparation"]))
 
 
+#: Models that add will_cancel to rows.
+Scorer = CancellationModel | NetworkModel
+
+
 @leaving_nothing
 def train_network(
     train: DataFrame, preparation: Preparation | None = None, plan: network.Plan | None = None, block: int = network.BLOCK

@@ -371,6 +371,12 @@ def _is_probability() -> Column:
     return F.col("will_cancel").between(0, 1).alias("is_probability")
 
 
+def _learned(model: mo.Scorer, rows: DataFrame, least: float) -> Column:
+    """Whether a model ranks the rows that it was fitted on better than ``least``; chance gives 0.5, one score for all too."""
+    auc = me.roc_auc(model.score(rows, training=True), "cancel", "will_cancel").first().auc
+    return F.lit(auc is not None and auc > least).alias("learned")
+
+
 def final_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel, str]:
     """The published final model, fitted once per session and folder and loaded from where it is stored."""
     key = (spark.sparkContext.applicationId, folder, "final-model")
@@ -382,8 +388,9 @@ def final_model(spark: SparkSession, folder: str) -> tuple[mo.CancellationModel,
 
 
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    scored = final_model(spark, folder)[0].score(_validation(spark, folder), training=True)
-    return scored.select("order_id", "cancel", _is_probability())
+    model = final_model(spark, folder)[0]
+    scored = model.score(_validation(spark, folder), training=True)
+    return scored.select("order_id", "cancel", _is_probability(), _learned(model, _train(spark, folder), 0.75))
 
 
 def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -391,13 +398,15 @@ def train_gbt_segments(spark: SparkSession, folder: str) -> DataFrame:
     rows = _segment_rows(spark, folder)
     preparation = mo.Preparation(train_fill=SCORE_FILL, vocabulary=sg.segment_vocabulary(rows, sg.MIN_TOTAL))
     model = mo.train_gbt(rows, preparation)
-    return model.score(rows, training=True).select("order_id", "segments", "cancel", _is_probability())
+    scored = model.score(rows, training=True)
+    return scored.select("order_id", "segments", "cancel", _is_probability(), _learned(model, rows, 0.75))
 
 
 def train_mlp(spark: SparkSession, folder: str) -> DataFrame:
     """The published network, all epochs."""
     model = mo.train_network(_train(spark, folder))
-    return model.score(_validation(spark, folder)).select("order_id", "cancel", _is_probability())
+    scored = model.score(_validation(spark, folder))
+    return scored.select("order_id", "cancel", _is_probability(), _learned(model, _train(spark, folder), 0.55))
 
 
 def _auc_in_range() -> Column:
@@ -509,7 +518,8 @@ def score_orders(spark: SparkSession, folder: str) -> DataFrame:
         lambda scores: write_csv(scores, output),
     )
     scores = spark.read.csv(output, header=True, schema="order_id bigint, will_cancel double")
-    return scores.select("order_id", _is_probability())
+    low, high = scores.agg(F.min("will_cancel"), F.max("will_cancel")).first()
+    return scores.select("order_id", _is_probability(), F.lit(low < high).alias("varies"))
 
 
 MODEL_QUERIES: dict[str, Query] = {
