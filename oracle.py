@@ -262,7 +262,12 @@ _WINDOWS = {
     "full": ("train", "2017-01-01", "2017-06-20"),
     "seg": ("train", "2017-07-07", "2017-08-08"),
     "pred": ("predict", "2017-07-10", "2017-07-18"),
+    "day1": ("predict", "2017-07-06", "2017-07-14"),
+    "day2": ("predict", "2017-07-07", "2017-07-15"),
+    "day3": ("predict", "2017-07-08", "2017-07-16"),
+    "day4": ("predict", "2017-07-09", "2017-07-17"),
 }
+_RUNS = ["day1", "day2", "day3", "day4", "pred"]
 _EXTRAS = " + ".join(
     [f"coalesce(CAST({name} AS INTEGER), 0)" for name in BOOLEAN_EXTRAS]
     + [f"coalesce(CAST({name} > 0 AS INTEGER), 0)" for name in COUNTED_EXTRAS]
@@ -506,6 +511,12 @@ def data_queries() -> dict[str, str]:
         "feature_matrix_train": _matrix("val"),
         "feature_matrix_train_window": _matrix("full"),
         "feature_matrix_predict": _matrix("pred"),
+        "feature_matrix_daily": sql(
+            " ".join(f"m_{tag}" for tag in _RUNS),
+            " UNION ALL ".join(
+                f"SELECT DATE '{_WINDOWS[tag][1]}' AS run_date, * EXCLUDE (user_id) FROM m_{tag}" for tag in _RUNS
+            ),
+        ),
         "csv_roundtrip": sql("m_segments", "SELECT * FROM m_segments"),
         "trackings": sql("tracked", "SELECT * FROM tracked"),
         "latest_segments": sql("uploaded", "SELECT tracking_id, segments FROM uploaded"),

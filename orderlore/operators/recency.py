@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ def _leaves_horizon(date: Column, days: int) -> Column:
     return midnight(F.date_add(date, days)) - F.lit(ONE_MICROSECOND)
 
 
-def _horizon_events_plain(per_date: DataFrame) -> list[Column]:
+def _horizon_events_plain() -> list[Column]:
     """Paid dates per horizon. An order counts from its start until its check-out
     is N days old. Orders of one date start on that date, and whatever is still
     open then stays open at least until midnight; so the date is open from the
@@ -72,47 +74,63 @@ def _strict_horizon_events(paid: DataFrame, users: DataFrame) -> DataFrame:
     return events_of(spans, weekday(F.col("date")), events)
 
 
-def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_past: bool) -> DataFrame:
-    """Orders are first aggregated per user and date, then restricted to the users
-    of the window. In this order a user with very many orders is spread over
-    dates when shuffled by user and date, and down to one row per date when
-    shuffled by user. A list of users small enough to broadcast is applied
-    before the aggregation all the same: the optimizer moves it there.
-    """
+def paid_orders(orders: DataFrame, before: dt.date) -> DataFrame:
+    """Paid orders that start before a date, with their day and the moment from which they count as paid."""
     start, out = F.col("start_at"), F.col("checked_out_at")
-    paid = (
+    return (
         orders.where(
             (F.col("workflow_state") == "paid")
             & F.col("deal_id").isNull()
             & F.col("confirmed_at").isNotNull()
-            & (start < at_midnight(window.end))
+            & (start < at_midnight(before))
         )
         .select("user_id", "start_at", "checked_out_at")
         .withColumns(
             {"date": F.to_date(start), "known_at": F.when(out.isNotNull(), F.greatest(start, out))}
         )
     )
-    opening = at_midnight(window.start)
+
+
+def date_aggregates() -> list[Column]:
+    """What the events of a user's paid date are made of, from the orders of that date."""
+    start, out = F.col("start_at"), F.col("checked_out_at")
     still_open = {n: F.date_add(F.to_date(out), n) > F.col("date") for n in HORIZONS}
-    per_date = paid.groupBy("user_id", "date").agg(
+    return [
         F.min("known_at").alias("first_known"),
         F.min("start_at").alias("first_start"),
         F.max(F.to_date(out)).alias("last_out"),
         *[F.min(F.when(still_open[n], start)).alias(f"opens_{n}") for n in HORIZONS],
-        F.count_if(F.col("known_at") < opening).alias("known_before"),
-    ).join(users, "user_id", "left_semi")
+    ]
+
+
+def date_events(horizons: bool = True) -> list[Column]:
+    """The events of a paid date; counts by weekday are those of its orders."""
+    return [
+        event(F.col("first_known"), "paid_all"),
+        event(F.col("first_start"), "paid_day", 0, F.col("date")),
+        *(_horizon_events_plain() if horizons else []),
+    ]
+
+
+def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_past: bool) -> DataFrame:
+    """Orders are first aggregated per user and date, then restricted to the users
+    of the window. In this order a user with very many orders is spread over
+    dates when shuffled by user and date, and down to one row per date when
+    shuffled by user. A list of users small enough to broadcast is applied
+    before the aggregation all the same: the optimizer moves it there.
+    """
+    start, out = F.col("start_at"), F.col("checked_out_at")
+    paid = paid_orders(orders, window.end)
+    opening = at_midnight(window.start)
+    per_date = (
+        paid.groupBy("user_id", "date")
+        .agg(*date_aggregates(), F.count_if(F.col("known_at") < opening).alias("known_before"))
+        .join(users, "user_id", "left_semi")
+    )
     dow = weekday(F.col("date"))
     before_window = F.when(F.col("known_before") > 0, opening - F.lit(ONE_MICROSECOND))
-    events = events_of(
-        per_date,
-        dow,
-        [
-            event(F.col("first_known"), "paid_all"),
-            event(F.col("first_start"), "paid_day", 0, F.col("date")),
-            event(before_window, "dow_paid", F.col("known_before")),
-            *([] if strict_past else _horizon_events_plain(per_date)),
-        ],
-    )
+    known = event(before_window, "dow_paid", F.col("known_before"))
+    events = events_of(per_date, dow, [*date_events(horizons=not strict_past), known])
     # orders that become known inside the window: few, and found by the pushed time filter;
     # nearly all belong to users of the window, so no join is spent on the others
     recent = paid.where(((start >= opening) | (out >= opening)) & (F.col("known_at") >= opening))
@@ -120,13 +138,12 @@ def _paid_events(orders: DataFrame, users: DataFrame, window: Window, strict_pas
     return events.unionByName(_strict_horizon_events(paid, users)) if strict_past else events
 
 
-def _canceled_events(classified: DataFrame, users: DataFrame, fanout: str, strict_past: bool) -> DataFrame:
+def canceled_events(classified: DataFrame, fanout: str, strict_past: bool = False) -> DataFrame:
+    """The events of classified cancellations."""
     start, canceled = F.col("start_at"), F.col("canceled_at")
-    kept = (
-        classified.where(~F.col("cancel_type").startswith(TRASH_PREFIX) & start.isNotNull() & canceled.isNotNull())
-        .join(users, "user_id", "left_semi")
-        .withColumns({"known_at": F.greatest(start, canceled), "date": F.to_date(canceled)})
-    )
+    kept = classified.where(
+        ~F.col("cancel_type").startswith(TRASH_PREFIX) & start.isNotNull() & canceled.isNotNull()
+    ).withColumns({"known_at": F.greatest(start, canceled), "date": F.to_date(canceled)})
     known, date = F.col("known_at"), F.col("date")
     begin = known if strict_past else start
     copies = F.col("multiplicity") if fanout == "exact" else F.lit(1)
@@ -162,7 +179,7 @@ def history_measures(
         raise ValueError(f"fanout is 'exact' or 'dedup', not {fanout!r}")
     users = points.where(F.col("user_id").isNotNull()).select("user_id").distinct()
     events = _paid_events(orders, users, window, strict_past).unionByName(
-        _canceled_events(classified, users, fanout, strict_past)
+        canceled_events(classified.join(users, "user_id", "left_semi"), fanout, strict_past)
     )
     return point_in_time(events, points, window, MEASURES)
 

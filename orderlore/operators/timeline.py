@@ -97,10 +97,13 @@ class Measures:
         ]
 
 
-def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures: Measures) -> DataFrame:
+def point_in_time(
+    events: DataFrame, points: DataFrame, window: Window, measures: Measures, totals: DataFrame | None = None
+) -> DataFrame:
     """Measures at each distinct ``(user_id, start_at)`` of ``points``.
 
     All points lie in the window. Users without a number get no row.
+    ``totals`` are measures per user and weekday of further events, all of them before the window.
     """
     dated = events.where(F.col("user_id").isNotNull() & (F.col("at") < at_midnight(window.end)))
     marks = points.where(F.col("user_id").isNotNull()).select(
@@ -126,7 +129,11 @@ def point_in_time(events: DataFrame, points: DataFrame, window: Window, measures
         .agg(*measures.from_events(), F.max(role).alias("role"))
     )
 
-    days = steps.groupBy("user_id", "day_no", "dow").agg(*measures.combined(), F.max("role").alias("role"))
+    by_day = steps
+    if totals is not None:
+        before = totals.withColumns({"day_no": F.lit(-1), "role": F.lit(0)})
+        by_day = steps.drop("start_at").unionByName(before)
+    days = by_day.groupBy("user_id", "day_no", "dow").agg(*measures.combined(), F.max("role").alias("role"))
     # a day of the window has one weekday, so a day with points gives one row
     earlier_days = (
         days.select("user_id", "day_no", "role", *measures.running("before_", "user_id", "day_no"))

@@ -13,17 +13,21 @@ from orderlore.operators.joins import left_join_nullable
 from orderlore.operators.history import change_summary
 from orderlore.operators.population import orders_general_info, population, shift_counts
 from orderlore.operators.recency import history_columns, history_measures
+from orderlore.operators.state import HistoryState, state_measures
 from orderlore.operators.segments import latest_segments, trackings, user_segments
 from orderlore.sources.schemas import MATRIX_SCHEMA, Window
 
 
-def _matrix(tables, mode, window, fanout, strict_past, classified, changes) -> DataFrame:
+def _matrix(tables, mode, window, fanout, strict_past, classified, changes, state=None) -> DataFrame:
     orders = tables["orders"]
     changes = change_summary(tables["deltas"]) if changes is None else changes
     classified = classified_orders(tables, changes) if classified is None else classified
     general = orders_general_info(orders, tables["addresses"], mode, window, keep=("user_id", "start_at"))
     points = population(orders, mode, window).select("user_id", "start_at")
-    measures = history_measures(orders, classified, points, window, fanout, strict_past)
+    if state is None:
+        measures = history_measures(orders, classified, points, window, fanout, strict_past)
+    else:
+        measures = state_measures(state, orders, classified, points, window)
     joined = (
         general.join(measures, ["user_id", "start_at"], "left")
         .select(general.columns + history_columns(F.col("start_at")))
@@ -50,14 +54,18 @@ def feature_matrix(
     strict_past: bool = False,
     classified: DataFrame | None = None,
     changes: DataFrame | None = None,
+    state: HistoryState | None = None,
 ) -> DataFrame:
     """One row per order of the window: 35 columns to train on, 34 to score (no target).
 
     ``classified`` and ``changes`` take stored results of
     ``classified_orders`` and ``change_summary``; without them the two are
-    part of this plan.
+    part of this plan. With a ``state`` of the window's first day, as
+    ``advance_state`` leaves it, history is not computed from all orders anew.
     """
-    return _matrix(tables, mode, window, fanout, strict_past, classified, changes).drop("user_id")
+    if state is not None and (strict_past or state.fanout != fanout):
+        raise ValueError("a state has its own fanout and does not go with strict_past")
+    return _matrix(tables, mode, window, fanout, strict_past, classified, changes, state).drop("user_id")
 
 
 def feature_matrix_segments(

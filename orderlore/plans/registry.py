@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from orderlore.operators import population as po
 from orderlore.operators import prep as pr
 from orderlore.operators import recency as re
 from orderlore.operators import segments as sg
+from orderlore.operators import state as st
 from orderlore.plans import models as mo
 from orderlore.plans.features import feature_matrix, feature_matrix_segments
 from orderlore.sources.bridge import WEB_APP, WEB_SINCE, bridge
@@ -36,6 +38,7 @@ from orderlore.sources.schemas import (
 from orderlore.sources.tables import Tables, fingerprint, materialise, reused, shared_folder
 
 AS_OF = dt.date(2017, 7, 10)  # fixed value: the run date of the scoring queries
+DAILY_RUNS = 5  # run dates of the query of daily runs, the last one is AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +132,18 @@ def scoring_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return feature_matrix(tables_of(spark, folder), "predict", Window.next_days(AS_OF), **_inputs(spark, folder))
 
 
+def daily_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    """The scoring matrices of consecutive run dates, each from the state that the run before left."""
+    tables, inputs = tables_of(spark, folder), _inputs(spark, folder)
+    path, days = shared_folder(spark, "history"), []
+    for back in range(DAILY_RUNS - 1, -1, -1):
+        date = AS_OF - dt.timedelta(days=back)
+        state = st.advance_state(spark, path, tables["orders"], inputs["classified"], date)
+        matrix = feature_matrix(tables, "predict", Window.next_days(date), state=state, **inputs)
+        days.append(materialise(matrix.select(F.lit(date).alias("run_date"), "*"), "day"))
+    return reduce(DataFrame.unionByName, days)
+
+
 def segment_matrix_rows(spark: SparkSession, folder: str, dedupe: str = "none") -> DataFrame:
     return feature_matrix_segments(
         tables_of(spark, folder), SEGMENT_TRAIN, WEB_APP, WEB_SINCE, dedupe, **_inputs(spark, folder)
@@ -178,6 +193,7 @@ DATA_QUERIES: dict[str, Query] = {
     "feature_matrix_train": lambda spark, folder: training_matrix(spark, folder, VALIDATION),
     "feature_matrix_train_window": training_matrix,
     "feature_matrix_predict": scoring_matrix,
+    "feature_matrix_daily": daily_matrices,
     "csv_roundtrip": csv_roundtrip,
     "trackings": _on_tables(lambda t: sg.trackings(t["web_events"], WEB_APP, WEB_SINCE)),
     "latest_segments": _on_tables(lambda t: sg.latest_segments(t["segment_uploads"]).drop("date")),

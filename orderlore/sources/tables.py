@@ -192,6 +192,15 @@ def leaving_nothing(function):
     return run
 
 
+def finished(spark: SparkSession, path: str, result: str) -> list[str]:
+    """Names of the folders below ``path`` in which the named result has been written to its end, sorted."""
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(n for n in names if files.exists(_place(spark, f"{path}/{n}/{result}/_SUCCESS")[0]))
+
+
 # --- results with a name --------------------------------------------------------------
 
 
