@@ -221,6 +221,44 @@ def test_trees_equal_plain_ones(spark, block):
         assert got == pytest.approx(want, abs=1e-9)
 
 
+def test_sums_of_bundled_columns():
+    """Columns that are summed together give the sums of each column, also over chosen rows."""
+    rng = np.random.default_rng(3)
+    edges = [list(range(k)) for k in (4, 31, 1, 1, 20, 0)]
+    bins = boosting.Binning([[float(v) for v in e] for e in edges], 2)
+    x = np.hstack([rng.integers(0, 33, (400, 6)), rng.integers(0, 3, (400, 2)) * (rng.random((400, 2)) < 0.4)]).astype(float)
+    cells = bins.bins(x)
+    row = {"n": 400, "bins": cells.tobytes(), "labels": bytes(400), "folds": bytes(1600), "keys": b"", "margins": bytes(3200)}
+    bundles = boosting.Bundles(bins)
+    assert len(bundles.columns) < 6 and max(bundles.sizes) <= boosting.JOINT
+    block = boosting._Block(row, bins, 1, bundles)
+    slot, g, h = rng.integers(-1, 3, 400), rng.standard_normal(400), rng.random(400) * (rng.random(400) < 0.8)
+    total = boosting.sums(block, bins, slot, 3, g, h)
+    for k, weights in enumerate((g, h)):
+        for s in range(3):
+            own = np.flatnonzero((slot == s) & (h > 0))
+            for j, (a, b) in enumerate(zip(bins.offsets(), bins.offsets()[1:])):
+                want = np.bincount(cells[own, j], weights[own], b - a)
+                assert total[k, s, a:b] == pytest.approx(want, abs=1e-9)
+            assert total[k, s, -1] == pytest.approx(weights[own].sum(), abs=1e-9)
+
+
+def test_sizes_of_blocks(spark):
+    """A table that a task can hold is one block; larger ones are blocks of bounded rows, cells and margins."""
+    assert boosting.block_rows(300_000, 32, 12) == 300_000 and boosting.block_rows(0, 32, 12) == 1
+    assert boosting.block_rows(18_000_000, 32, 12) == 131_072 and boosting.block_rows(600_000, 32, 12) == 25_000
+    assert boosting.block_rows(300_000, 10_000, 12) == 16_384
+    rows = spark.range(20_000).selectExpr("id key", "double(id % 2) label", "0 fold", "array(double(id % 5)) x")
+    bins = boosting.Binning([[0.5, 1.5, 2.5, 3.5]])
+    growth = boosting.Growth(rows, bins, [boosting.Fit(boosting.Setting(1, 2, 0.1))])
+    assert growth.blocks == 1
+    growth.close()
+    many = [boosting.Fit(boosting.Setting(1, 2, 0.1, seed=k)) for k in range(300)]
+    growth = boosting.Growth(rows, bins, many, block=10_000)
+    assert growth.blocks == 2 and max(len(p) for p in growth.parts) * 10_000 * 8 <= boosting.MARGINS
+    growth.close()
+
+
 def test_subsamples_do_not_depend_on_blocks(spark, matrix):
     folded = kfold_split(matrix, 3)
     settings = [{**mo.SAMPLED, "maxIter": 3, "maxDepth": 3, "minChildWeight": 1}]
