@@ -248,6 +248,8 @@ def test_sizes_of_blocks(spark):
     assert boosting.block_rows(300_000, 32, 12) == 300_000 and boosting.block_rows(0, 32, 12) == 1
     assert boosting.block_rows(18_000_000, 32, 12) == 131_072 and boosting.block_rows(600_000, 32, 12) == 25_000
     assert boosting.block_rows(300_000, 10_000, 12) == 16_384
+    assert network.block_rows(300_000, 32) == 300_000 and network.block_rows(600_000, 32) == network.BLOCK
+    assert network.block_rows(300_000, 1_000) == network.BLOCK
     rows = spark.range(20_000).selectExpr("id key", "double(id % 2) label", "0 fold", "array(double(id % 5)) x")
     bins = boosting.Binning([[0.5, 1.5, 2.5, 3.5]])
     growth = boosting.Growth(rows, bins, [boosting.Fit(boosting.Setting(1, 2, 0.1))])
@@ -259,6 +261,19 @@ def test_sizes_of_blocks(spark):
     growth.close()
 
 
+def test_a_step_of_the_network_is_one_stage(spark):
+    """Tasks' sums of gradients return without an exchange."""
+    plan = network.Plan(hidden=(3,), batch=4)
+    x = np.arange(16.0).reshape(8, 2)
+    rows = [(k, k, x[4 * k : 4 * k + 4].tobytes(), np.array([0.0, 1, 1, 0]).tobytes()) for k in range(2)]
+    batches = spark.createDataFrame(rows, "block int, step int, x binary, y binary")
+    start = network.Weights.start(2, plan)
+    found = network._gradients(batches, 1, start)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    total = sum(np.frombuffer(r.total) for r in found.collect())
+    assert total == pytest.approx(network.gradient_sum(start, x[4:], np.array([0.0, 1, 1, 0])), abs=1e-12)
+
+
 def test_subsamples_do_not_depend_on_blocks(spark, matrix):
     folded = kfold_split(matrix, 3)
     settings = [{**mo.SAMPLED, "maxIter": 3, "maxDepth": 3, "minChildWeight": 1}]
