@@ -63,7 +63,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - began, 3)
 
     # derived inputs, written once: tables, classification, matrices, the final model
-    timed("derive_tables", lambda: registry.tables_of(spark, folder))
+    timed("derive_tables", lambda: dict(registry.tables_of(spark, folder)))
     timed("store_classification", lambda: registry.classified_of(spark, folder))
     timed("store_matrices", lambda: registry.store_matrices(spark, folder))
     timed("fit_final_model", lambda: registry.final_model(spark, folder))
