@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ SIZE = 10  # characters of a shingle, white space left out
 PERCENT = 75  # least similarity of a link, in hundredths
 BANDS, ROWS = 8, 3  # a pair at the least similarity shares no band with probability (1 - 0.75 ** 3) ** 8, 1.3 %
 LEAST = 20  # lines of fewer characters repeat by chance and stay
-CHUNK = 1 << 19  # bytes of text that a task hashes at once
+CHUNK = 1 << 18  # bytes of text that a task hashes at once; arrays beyond some MB cost a page fault for each page
 SEEN = 200_000  # lines that a task remembers to have had
 NODE = 1 << 20  # a bucket of up to so many characters is compared exhaustively
 COPIES = 8  # a larger bucket is compared in blocks at once if that takes up to so many copies of a line
@@ -45,39 +46,42 @@ def _plain(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     """Code points of all lines without white space and with A-Z lower-cased, where each line begins (one more for
     the end), and each line's text and number within it."""
     points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
-    new = points == 10
+    joints = np.flatnonzero(points == 10)
     sizes = np.array([len(t) for t in texts], np.int64)
     closing = np.cumsum(sizes + 1)[:-1] - 1  # the joints between texts
-    line = np.concatenate([[0], np.cumsum(new)])[:-1]
-    small = points < 128
-    space = small.copy()
-    space[small] = _SPACES[points[small]]
-    keep = ~space
+    keep = ~_SPACES[np.minimum(points, 127)]
     kept = points[keep]
-    kept = np.where((kept >= 65) & (kept <= 90), kept + 32, kept).astype(np.uint32)
-    n_lines = int(new.sum()) + 1
-    begins = np.searchsorted(line[keep], np.arange(n_lines + 1))
-    first = np.concatenate([[0], line[closing] + 1]) if len(texts) > 1 else np.zeros(1, np.int64)
+    kept += np.where(kept - np.uint32(65) < 26, np.uint32(32), np.uint32(0))  # smaller ones wrap around
+    n_lines = len(joints) + 1
+    begins = np.concatenate([[0], np.cumsum(keep)[joints], [len(kept)]])
+    first = np.concatenate([[0], np.searchsorted(joints, closing) + 1])
     text = np.repeat(np.arange(len(texts)), np.diff(np.concatenate([first, [n_lines]])))
     return kept, begins, text, np.arange(n_lines) - first[text]
 
 
 def _rolled(points: np.ndarray) -> np.ndarray:
     """Hashes of the SIZE characters from each place on; the last ones run over the end."""
-    h = points.astype(np.uint64) + np.uint64(1)
+    h = points.astype(np.uint64)
+    h += np.uint64(1)
     out, done, width, power = None, 0, 1, _BASE
     while True:
         if SIZE & width:
-            ahead = np.concatenate([h[done:], np.zeros(min(done, len(h)), np.uint64)])
-            out = h if out is None else out * np.uint64(power) + ahead
+            if out is None:
+                out = h.copy()
+            else:
+                out *= np.uint64(power)
+                out[: max(0, len(h) - done)] += h[done:]
             done += width
         if done == SIZE:
             break
-        h = h * np.uint64(power) + np.concatenate([h[width:], np.zeros(min(width, len(h)), np.uint64)])
+        ahead = h[width:]
+        h = h * np.uint64(power)
+        h[: len(ahead)] += ahead
         width, power = 2 * width, power * power % (1 << 64)
-    out = out ^ (out >> np.uint64(32))
+    out ^= out >> np.uint64(32)
     out *= np.uint64(0xFF51AFD7ED558CCD)
-    return out ^ (out >> np.uint64(29))
+    out ^= out >> np.uint64(29)
+    return out
 
 
 def _banded(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -363,21 +367,23 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of which nothing goes pass as they are."""
     for batch in batches:
-        texts, n_lines, n_removed = [], [], []
-        for text, removed in zip(*(batch.column(i).to_pylist() for i in (-2, -1)), strict=True):
-            lines = (text or "").split("\n")
-            n_lines.append(len(lines) if text else 0)
-            n_removed.append(len(removed or ()))
-            if removed:
-                gone = set(removed)
-                text = "\n".join(x for i, x in enumerate(lines) if i not in gone)
-            texts.append(text)
+        texts, removed = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+        n_removed = pc.fill_null(pc.list_value_length(removed), 0).cast(pa.int64())
+        full = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
+        n_lines = pc.if_else(full, pc.add(pc.fill_null(pc.count_substring(texts, "\n"), 0).cast(pa.int64()), 1), 0)
+        hit = pc.greater(n_removed, 0)
+        left = []
+        for text, numbers in zip(texts.filter(hit).to_pylist(), removed.filter(hit).to_pylist(), strict=True):
+            gone = set(numbers)
+            left.append("\n".join(x for i, x in enumerate((text or "").split("\n")) if i not in gone))
+        if left:
+            texts = pc.replace_with_mask(texts, hit, pa.array(left, texts.type))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in range(batch.num_columns - 2)), pa.array(texts, pa.string()),
-             pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
+            [*(batch.column(i) for i in range(batch.num_columns - 2)), texts.cast(pa.string()), n_lines, n_removed],
             [*batch.schema.names[:-2], "text", "n_lines", "n_removed"],
-        )
+        )
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
