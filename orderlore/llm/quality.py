@@ -257,13 +257,12 @@ def _fetched(sample: DataFrame, most: int) -> tuple[Rows, np.ndarray]:
     begins = np.concatenate([[0], np.cumsum(sizes["size"])]).astype(np.int64)
     rows = Rows(np.zeros(begins[-1], np.int32), begins, sizes["label"].to_numpy())
     number = {x: i for i, x in enumerate(zip(sizes["label"], sizes["turn"], strict=True))}
-    parts = int(begins[-1] // PART) + 1
-    for part in range(parts):  # a part at a time, so that the array is the only copy
-        got = packed.where(F.pmod(F.xxhash64("turn", "label"), F.lit(parts)) == part).select("label", "turn", "found")
-        for label, turn, found in got.toArrow().to_pandas().itertuples(index=False):
-            if (label, turn) in number:
-                i = number[label, turn]
-                rows.found[begins[i] : begins[i + 1]] = np.frombuffer(found, np.int32)
+    # rows stream in, a part at a time held by the JVM and a batch by Python, so that the array is the only copy
+    some = packed.select("label", "turn", "found").repartition(int(begins[-1] // PART) + 1)
+    for label, turn, found in some.toLocalIterator():
+        if (label, turn) in number:
+            i = number[label, turn]
+            rows.found[begins[i] : begins[i + 1]] = np.frombuffer(found, np.int32)
     return rows, sizes["place"].to_numpy()
 
 

@@ -296,3 +296,27 @@ def test_components_of_many_shapes(spark, kind):
     want = {x: groups.root(x) for e in edges if e[0] != e[1] for x in e}
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
+
+
+def test_rounds_of_components_take_tasks_by_their_edges(spark, monkeypatch):
+    """Where the shuffle's partitions are many and not coalesced, a few edges still are one task, and many edges several."""
+    from orderlore.llm import common
+
+    edges = [(i, i + 1) for i in range(0, 400, 4)] + [(i + 1, i + 3) for i in range(0, 400, 4)] + [(5, None), (7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = common.components(df)
+        files = len(got.inputFiles())
+        monkeypatch.setattr(common, "EDGES", 20)
+        more = common.components(df)
+        several = len(more.inputFiles())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    expected = sorted((i + x, i) for i in range(0, 400, 4) for x in (0, 1, 3))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, more.collect())) == expected
+    assert files == 1 and 1 < several <= 11, (files, several)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import helpers
@@ -178,3 +179,18 @@ def test_small_hosts_are_shrunk_to_the_mean(spark):
     assert got["b1"] == pytest.approx(0.9, abs=0.01) and got["b2"] == pytest.approx(0.02, abs=0.01)
     one = hostrules.host_rates(frame([("only", 10, 9)])).first()
     assert one.rate_lines == pytest.approx(0.9) and hostrules.host_rates(frame([])).count() == 0
+
+
+def test_indicators_of_the_sample_are_held_once(spark):
+    """Beside the array, the driver holds a batch of rows, not all that a part fetches."""
+    rows = [(i % 2, i, i // 2 + 1, " ".join(f"w{i}x{k}" for k in range(4000))) for i in range(160)]
+    sample = spark.createDataFrame(rows, "label int, place long, turn int, text string").repartition(8)
+    quality._fetched(sample.where(F.col("place") < 2), 1 << 24)  # imports what it needs
+    tracemalloc.start()
+    got, places = quality._fetched(sample, 1 << 24)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 160 and sorted(places.tolist()) == list(range(160))
+    for i, place in enumerate(places[:4]):
+        assert got[i].tolist() == indicators(rows[place][3]).tolist()
+    assert got.found.nbytes > 8e6 and peak < 2.3 * got.found.nbytes, (got.found.nbytes, peak)
