@@ -122,6 +122,33 @@ def test_network_over_several_blocks(matrix):
     assert one == pytest.approx(many, abs=1e-9)
 
 
+def test_network_does_not_depend_on_the_size(monkeypatch, matrix):
+    """A table that several tasks cut, whose epochs are jobs of their own, has the steps and the weights of a small one."""
+    plan = network.Plan(hidden=(8,), epochs=3, batch=32)
+    small = mo.train_network(matrix, plan=plan).weights.flat()
+    monkeypatch.setattr(network, "WHOLE_ROWS", 100)
+    monkeypatch.setattr(network, "BLOCK", 100)
+    taken = []
+    monkeypatch.setattr(network, "_in_steps", lambda *a: taken.append(a))
+    assert (mo.train_network(matrix, plan=plan).weights.flat() == small).all() and not taken
+
+
+def test_steps_of_the_network_one_by_one(spark):
+    """Rows in the order of their hashes, cut into mini-batches that come in another order in each epoch; the last one is short."""
+    rng = np.random.default_rng(5)
+    rows = [(i, float(i % 3 == 0), [float(v) for v in rng.integers(-2, 3, 2)]) for i in range(50)]
+    df = spark.createDataFrame([*rows, rows[0]], "key long, label double, x array<double>").repartition(3)
+    plan = network.Plan(hidden=(3,), epochs=4, batch=8)
+    steps = network.Steps(network.Weights.start(2, plan), plan)
+    own = [(r.label, r.x) for r in df.orderBy(F.xxhash64("x", "label", "key")).collect()]
+    y, x = np.array([a for a, _ in own]), np.array([b for _, b in own])
+    for epoch in range(plan.epochs):
+        for k in np.random.default_rng([plan.seed, epoch]).permutation(7):
+            part = slice(8 * k, 8 * k + 8)
+            steps.take(network.gradient_sum(steps.weights, x[part], y[part]), len(y[part]))
+    assert network.train(df, plan).flat() == pytest.approx(steps.weights.flat(), abs=1e-12)
+
+
 def test_tuning(matrix):
     folded = kfold_split(matrix, 3)
     table = mo.cross_validate(folded, mo.settings_of({"maxIter": [1, 4], "maxDepth": [3], "stepSize": [0.2]})).collect()
