@@ -248,6 +248,44 @@ def test_trees_equal_plain_ones(spark, block):
         assert got == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("stored", [1 << 28, 0])
+def test_fits_grow_in_tasks_over_several_blocks(spark, monkeypatch, stored):
+    """A table of several blocks needs no job per round: each fit's blocks pass in one task, from its memory or its file, and the
+    trees and margins are those of one block, also where growing goes on from stored margins."""
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 7, 900), rng.integers(0, 40, 900), rng.integers(0, 3, 900) * (rng.random(900) < 0.4)])
+    y = (x[:, 0] + x[:, 2] + rng.random(900) * 5 > 5).astype(float)
+    rows = [(i, float(b), i % 3, [float(v) for v in a]) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "key long, label double, fold int, x array<double>").repartition(3)
+    bins = boosting.binning(df.select(*[F.col("x")[i].alias(f"c{i}") for i in range(2)]), ["c0", "c1"], 1)
+    settings = [boosting.Setting(4, 3, 0.3), boosting.Setting(3, 4, 0.1, rows=0.7, columns=0.7, seed=3), boosting.Setting(4, 0, 0.3)]
+    fits = [boosting.Fit(s, fold) for s in settings for fold in (0, 1, 2, None)]
+    monkeypatch.setattr(boosting, "STORED", stored)
+    monkeypatch.setattr(boosting, "SENT", 7)
+    found = {}
+    for blocks in (1, 6):
+        if blocks > 1:
+            monkeypatch.setattr(boosting, "BLOCK_ROWS", (150, 150))
+            monkeypatch.setattr(boosting, "WHOLE_ROWS", 150)
+            monkeypatch.setattr(boosting.Growth, "_level_by_level", None)
+        growth = boosting.Growth(df, bins, fits, keep=True)
+        assert growth.blocks == blocks
+        seen = [r for n in (2, 2) for r in materialise(growth.run(n, {1, 4}), "test").collect()]
+        growth.close()
+        margins = {}
+        for r in seen:
+            margins.setdefault((r.fit, r["round"], r.label), []).extend([r.margin] * r.n)
+        found[blocks] = growth.trees, {k: sorted(v) for k, v in margins.items()}
+    assert [[t.column for t in own] for own in found[1][0]] == [[t.column for t in own] for own in found[6][0]]
+    assert [len(own) for own in found[6][0]] == [4] * 4 + [3] * 4 + [4] * 4
+    assert found[1][1].keys() == found[6][1].keys() and {k[0] for k in found[6][1]} == {k for k, f in enumerate(fits) if f.held is not None}
+    for key, values in found[1][1].items():
+        assert values == pytest.approx(found[6][1][key], abs=1e-9)
+    assert sum(len(v) for k, v in found[6][1].items() if k[0] == 0) == 2 * 300
+    one = boosting.Trees.of(found[6][0][0], bins).margins(x.astype(float))[np.arange(900) % 3 == 0]
+    assert sorted(one) == pytest.approx(sorted(found[6][1][0, 4, 0.0] + found[6][1][0, 4, 1.0]), abs=1e-9)
+
+
 def test_sums_of_bundled_columns():
     """Columns that are summed together give the sums of each column, also over chosen rows."""
     rng = np.random.default_rng(3)

@@ -94,6 +94,14 @@ def test_auc_refuses_what_is_no_score(spark):
             _auc(spark, [(1, 0.9), (0, 0.1), pair])
 
 
+def test_auc_of_counted_rows(spark):
+    """Rows that stand for several give the AUC of the several."""
+    rows = [(1, 0.9, 2), (0, 0.9, 1), (0, 0.4, 3), (1, 0.4, 1), (1, 0.7, 4)]
+    counted = spark.createDataFrame(rows, "y int, p double, n long")
+    single = spark.createDataFrame([(y, p) for y, p, n in rows for _ in range(n)], "y int, p double")
+    assert me.roc_auc(counted, "y", "p", rows="n").first().auc == me.roc_auc(single, "y", "p").first().auc
+
+
 def test_auc(spark):
     assert _auc(spark, [(0, 0.1), (1, 0.4), (0, 0.4), (1, 0.8)]) == 0.875
     assert _auc(spark, [(1, 0.1), (1, 0.4)]) is None
